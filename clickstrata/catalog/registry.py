@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["parsing", "bidding"]
+MODULES = ["parsing", "lookups", "funnels"]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 

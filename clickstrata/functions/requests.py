@@ -21,15 +21,31 @@ def pairs_to_map(c: Column | str, pair_sep: str = "&", kv_sep: str = "=") -> Col
         F.transform(parts, lambda p: F.split(p, re.escape(kv_sep), -1)),
         lambda p: F.size(p) == 2,
     )
-    newest_first = F.reverse(pairs)
-    keys = F.transform(newest_first, lambda p: p[0])
-    kept = F.filter(newest_first, lambda p, i: F.array_position(keys, p[0]) == i + 1)
-    return F.map_from_arrays(F.transform(kept, lambda p: p[0]), F.transform(kept, lambda p: p[1]))
+    empty = F.create_map().cast("map<string,string>")
+    return F.aggregate(
+        pairs, empty, lambda seen, p: F.map_concat(F.map_filter(seen, lambda k, _: k != p[0]), F.create_map(p[0], p[1]))
+    )
+
+
+def query_param(query: Column | str, name: str) -> Column:
+    """Last value of one parameter of ``k=v&k=v`` text; null when absent.
+
+    Cheaper than building the whole map when the names are known: one compiled
+    pattern per parameter and no arrays.
+    """
+    key = re.escape(name)
+    one = f"(?<=^|&){key}=[^&=]*(?=&|$)"
+    return F.substring(F.regexp_substr(as_col(query), F.lit(f"{one}(?!.*&{key}=[^&=]*(?:&|$))")), len(name) + 2, 1_000_000)
+
+
+def query_text(request: Column | str) -> Column:
+    """The query string of an HTTP request line, '' without one."""
+    return F.regexp_extract(as_col(request), r"\?(.*) ", 1)
 
 
 def request_query(request: Column | str) -> Column:
     """The query parameters of an HTTP request line as a map; null without a query."""
-    text = F.regexp_extract(as_col(request), r"\?(.*) ", 1)
+    text = query_text(request)
     return F.when(text != "", pairs_to_map(text))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.requests import pairs_to_map, request_query
+from ..functions.requests import pairs_to_map, query_param, query_text
 
 Layout = Mapping[str, tuple[int, str]]
 
@@ -60,10 +60,10 @@ def parse_marked_kv(
 
 
 def parse_request_query(df: DataFrame, params: Mapping[str, str], request: str = "request") -> DataFrame:
-    """Adds one column per query parameter (``{parameter: output name}``) of a request line; the map is built once per row."""
+    """Adds one column per query parameter (``{parameter: output name}``) of a request line."""
     cols = [c for c in df.columns if c not in params.values()]
-    mapped = df.withColumn("_q", request_query(request))
-    return mapped.select(*cols, *[F.col("_q")[k].alias(out) for k, out in params.items()])
+    text = df.withColumn("_q", query_text(request))
+    return text.select(*cols, *[query_param("_q", k).alias(out) for k, out in params.items()])
 
 
 def parse_access_line(df: DataFrame, value: str = "value") -> DataFrame:
@@ -80,13 +80,13 @@ def parse_access_line(df: DataFrame, value: str = "value") -> DataFrame:
             F.regexp_extract(F.get("f", F.lit(2)), r"\[(\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2})", 1),
             F.lit("dd/MMM/yyyy:HH:mm:ss"),
         ).alias("t"),
-        request_query(F.get("f", F.lit(2))).alias("q"),
+        query_text(F.get("f", F.lit(2))).alias("q"),
     ).where(F.col("t").isNotNull())
     return parts.select(
         F.date_format("t", "yyyy-MM-dd").alias("date"),
         F.date_format("t", "HH").alias("hour"),
         F.get("f", F.lit(0)).alias("ip"),
-        F.struct(*[F.col("q")[k].alias(k) for k in ("event", "ad", "ver", "uid", "os", "msg")]).alias("url"),
+        F.struct(*[query_param("q", k).alias(k) for k in ("event", "ad", "ver", "uid", "os", "msg")]).alias("url"),
         F.get("f", F.lit(3)).alias("resp_code"),
         F.get("f", F.lit(4)).alias("process_time"),
         F.get("f", F.lit(5)).alias("resp_length"),
