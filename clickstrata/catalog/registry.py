@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["parsing", "lookups", "funnels"]
+MODULES = ["devices", "ranking", "profiles", "content"]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 

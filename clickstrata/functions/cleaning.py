@@ -12,7 +12,8 @@ MISSING_WORDS = ["\\N", "unknown", "没有权限"]
 NUMERIC_ID = r"^[\d\-.]+$"
 UNSIGNED_ID = r"^[0-9]+$"
 SIGNED_ID = r"^-?\d+$"
-IPV4 = r"^((25[0-5]|2[0-4]\d|[01]?\d{1,2})\.){3}(25[0-5]|2[0-4]\d|[01]?\d{1,2})$"
+OCTET = r"(25[0-5]|2[0-4]\d|[01]?\d{1,2})"
+IPV4 = "^" + OCTET + r"(\." + OCTET + "){3}$"
 CJK_ONLY = r"^[一-龥]+$"
 
 

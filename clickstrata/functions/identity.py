@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .cleaning import as_col, is_blank
+from .cleaning import OCTET, as_col, is_blank, valid_ipv4
 
 # Placeholder ids and operating-system codes found in the logs.
 ZERO_IMEI = "000000000000000"
@@ -49,34 +49,22 @@ def device_id_type(os: str, imei: str) -> Column:
     return F.when(os_ == OS_ANDROID, android).otherwise(F.lit(ID_TYPE_IDFA))
 
 
-def ip_octets(ip: Column | str) -> Column:
-    """The octets of an IPv4 address as an array of ints; null parts when not numeric."""
-    return F.transform(F.split(as_col(ip), r"\."), lambda part: part.try_cast("int"))
-
-
 def ip_prefix_hex(ip: Column | str, octets: int = 3) -> Column:
     """Leading octets in hex, two digits each, so that prefixes stay unambiguous.
 
-    ``117.157.198.7`` → ``759dc6``; null when the address is malformed.
+    ``117.157.198.7`` → ``759dc6``; null when those octets are malformed.
     """
     ip = as_col(ip)
-    pattern = r"^(\d{1,3})\." + r"(\d{1,3})\." * (octets - 1)
-    digits = [F.regexp_extract(ip, pattern, i + 1).try_cast("int") for i in range(octets)]
-    in_range = digits[0] <= 255
-    for d in digits[1:]:
-        in_range = in_range & (d <= 255)
-    return F.when(in_range, F.concat(*[F.lpad(F.lower(F.hex(d)), 2, "0") for d in digits]))
+    digits = [F.split_part(ip, F.lit("."), F.lit(i + 1)).try_cast("int") for i in range(octets)]
+    text = F.concat(*[F.lpad(F.lower(F.hex(d)), 2, "0") for d in digits])
+    return F.when(ip.rlike("^" + OCTET + r"(\." + OCTET + f"){{{octets - 1}}}" + r"\."), text)
 
 
 def ip_to_long(ip: Column | str) -> Column:
     """Dotted quad → unsigned 32-bit number as bigint; null when malformed."""
     ip = as_col(ip)
-    pattern = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$"
-    octs = [F.regexp_extract(ip, pattern, i).try_cast("bigint") for i in (1, 2, 3, 4)]
-    ok = octs[0].between(0, 255)
-    for o in octs[1:]:
-        ok = ok & o.between(0, 255)
-    return F.when(ok, octs[0] * 16777216 + octs[1] * 65536 + octs[2] * 256 + octs[3])
+    number = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("bigint"), lambda n, part: n * 256 + part.try_cast("bigint"))
+    return F.when(valid_ipv4(ip), number)
 
 
 def concat_ids(*cols: str) -> Column:
