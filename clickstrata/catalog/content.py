@@ -58,12 +58,9 @@ def stats(t: Tables):
 
 
 def hourly_stats(t: Tables):
-    """The hourly table of every hour at once: the hour travels in the gate key and is split off again."""
-    def stamped(df):
-        return df.withColumn("mediaGateID", F.concat("mediaGateID", F.lit("|"), "day", F.lit(" "), "hour", F.lit(":00:00")))
-
-    out = N.content_hour(N.content_funnel({n: stamped(df) for n, df in feed_logs(t).items()}), *dims(t))
-    return out.withColumns({"time": F.split_part("properties_id", F.lit("|"), F.lit(2)), "properties_id": F.split_part("properties_id", F.lit("|"), F.lit(1))})
+    """The hourly table of every hour at once."""
+    logs = {n: df.withColumn("time", F.concat("day", F.lit(" "), "hour", F.lit(":00:00"))) for n, df in feed_logs(t).items()}
+    return N.content_hour(N.content_funnel(logs, ["time"]), *dims(t), ["time"])
 
 
 @query("content_hour", f"WITH {FEED_CTE}, {HOURS_SQL} SELECT {STAT}, {MEASURES} FROM fh GROUP BY {STAT}")

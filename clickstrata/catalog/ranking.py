@@ -35,7 +35,7 @@ def _(t: Tables):
     return publish_topn(top, "grp", "item", "rn", 10)
 
 
-@query("share_of_group", f"WITH {EVENTS_CTE} SELECT user_id, event_type, count(*) AS n, {r('count(*) / sum(count(*)) OVER (PARTITION BY user_id)')} AS share FROM ev GROUP BY ALL")
+@query("share_of_group", f"WITH {EVENTS_CTE} SELECT user_id, event_type, count(*) AS n, {r('count(*) / sum(count(*)) OVER (PARTITION BY user_id)')} AS share FROM ev GROUP BY user_id, event_type")
 def _(t: Tables):
     return R.share_of_total(R.count_by_key(events(t), ["user_id", "event_type"], "n"), "n", ["user_id"], "share")
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["devices", "ranking", "profiles", "content"]
+MODULES = ["parsing", "lookups", "bidding", "funnels", "devices", "rules", "ranking", "profiles", "content", "quality", "reports", "storage", "streams"]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 

@@ -30,6 +30,11 @@ def ratio_or_zero(num: Column, den: Column) -> Column:
     return F.coalesce(ratio(num, den), F.lit(0.0))
 
 
+def round_places(c: Column, places: int) -> Column:
+    """Half-up rounding of a double at its nine-place decimal value, so that 0.225 held as 0.22499999999 rounds up."""
+    return F.round(c.cast("decimal(30,9)"), places).cast("double")
+
+
 def latest_value(value: Column | str, time: Column | str, where: Column | None = None) -> Column:
     """``value`` of the row with the greatest ``time``; equal times fall back to the greatest value, so reruns agree."""
     pair = F.struct(as_col(time).alias("t"), as_col(value).alias("v"))

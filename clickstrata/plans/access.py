@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.aggregates import round_places
 from ..functions.cleaning import max_length
 from ..functions.requests import normalize_uri
 from ..operators.dims import DimSpec, lookup_dims
@@ -85,7 +86,7 @@ def day_over_day(
     before = prev.select(*keys, F.col(n).alias("_p"))
     joined = cur.join(before, list(keys), "left")
     rate = F.when(F.col("_p").isNull(), F.lit(float(new_rate))).when(
-        F.col("_p") >= min_previous, F.round(F.try_divide((F.col(n) - F.col("_p")).cast("double"), F.col("_p").cast("double")), 2)
+        F.col("_p") >= min_previous, round_places(F.try_divide((F.col(n) - F.col("_p")).cast("double"), F.col("_p").cast("double")), 2)
     )
     return joined.select(
         *keys, F.coalesce(n, F.lit(0)).alias(n), F.coalesce("_p", F.lit(0)).alias(f"pre_{n}"),

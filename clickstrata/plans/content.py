@@ -33,23 +33,30 @@ def _place() -> dict[str, Column]:
     return {c: blank_to(c) for c in ("mediaID", "mediaGateID", "cityID")}
 
 
-def content_funnel(logs: Mapping[str, DataFrame]) -> DataFrame:
-    """Page requests, feed requests, impressions and clicks (content 1, advertising 2) per content key."""
+def content_funnel(logs: Mapping[str, DataFrame], extra: Sequence[str] = ()) -> DataFrame:
+    """Page requests, feed requests, impressions and clicks (content 1, advertising 2) per content key.
+
+    ``extra`` names further key columns all logs have, such as the hour when
+    several hours are built at once.
+    """
     none = F.lit("-1")
     no_content = {c: none for c in ("contentID", "advSource", "advSourceID", "advTypeID")}
     content = {c: blank_to(c) for c in ("contentID", "advSource", "advSourceID", "advTypeID")}
     channel = blank_to("channel", PINNED_CHANNEL)
     is_content, is_ad = F.col("advType") == "1", F.col("advType") == "2"
+    place = {**_place(), **{c: F.col(c) for c in extra}}
     facts = [
-        FactSpec(logs["h5_req"], {**_place(), "channel": none, **no_content}, {"h5_request": _one()}),
-        FactSpec(logs["api_req"], {**_place(), "channel": channel, **no_content}, {"api_request": _one()}),
-        FactSpec(logs["imp"], {**_place(), "channel": channel, **content}, {"cr_imps": _one(is_content), "ad_imps": _one(is_ad)}),
-        FactSpec(logs["clk"], {**_place(), "channel": channel, **content}, {"cr_clicks": _one(is_content), "ad_clicks": _one(is_ad)}),
+        FactSpec(logs["h5_req"], {**place, "channel": none, **no_content}, {"h5_request": _one()}),
+        FactSpec(logs["api_req"], {**place, "channel": channel, **no_content}, {"api_request": _one()}),
+        FactSpec(logs["imp"], {**place, "channel": channel, **content}, {"cr_imps": _one(is_content), "ad_imps": _one(is_ad)}),
+        FactSpec(logs["clk"], {**place, "channel": channel, **content}, {"cr_clicks": _one(is_content), "ad_clicks": _one(is_ad)}),
     ]
-    return merge_funnel(facts, CONTENT_KEYS)
+    return merge_funnel(facts, [*CONTENT_KEYS, *extra])
 
 
-def content_hour(funnel: DataFrame, channels: DataFrame, apps: DataFrame, cities: DataFrame) -> DataFrame:
+def content_hour(
+    funnel: DataFrame, channels: DataFrame, apps: DataFrame, cities: DataFrame, extra: Sequence[str] = ()
+) -> DataFrame:
     """The hourly statistics table: known channels only, app owner and platform, province of the city."""
     known = keep_known(funnel, channels, "channel", "name")
     named = lookup_dims(known, [
@@ -63,7 +70,7 @@ def content_hour(funnel: DataFrame, channels: DataFrame, apps: DataFrame, cities
         "mediaID": "app_id", "contentID": "content_source_id", "mediaGateID": "properties_id", "advSourceID": "real_tag_id",
         "advSource": "code_advsource", "advTypeID": "code_style_id", "cityID": "city_id",
     })
-    return rollup(named, STAT_KEYS, CONTENT_MEASURES)
+    return rollup(named, [*STAT_KEYS, *extra], CONTENT_MEASURES)
 
 
 def content_day(hours: DataFrame, time: str = "time") -> DataFrame:

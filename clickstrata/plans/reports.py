@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import ratio
+from ..functions.aggregates import ratio, round_places
 from ..operators.dims import max_per_key_lookup
 from ..operators.ranking import latest_per_key
 
@@ -31,16 +31,16 @@ def plan_media_lookup(plans: DataFrame, plan_slots: DataFrame, slots: DataFrame)
 def plan_kpis(df: DataFrame, keys: Sequence[str] = ("time", "plan_id"), cost_unit: float = COST_UNIT) -> DataFrame:
     """Per key: summed counts, cost in currency, ctr, ecpm, cpc, bid and win rate (per cent), two decimals."""
     sums = df.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in ("req", "bid", "show", "click")], (F.sum("cost") / cost_unit).alias("_cost")
+        *[F.sum(c).alias(c) for c in ("req", "bid", "show", "click")], (F.sum("cost").cast("double") / cost_unit).alias("_cost")
     )
     c = F.col
 
     def pct(num: str, den: str) -> Column:
-        return F.round(ratio(c(num), c(den)) * 100, 2)
+        return round_places(ratio(c(num), c(den)) * 100, 2)
 
     return sums.select(
-        *keys, "req", "bid", "show", "click", F.round("_cost", 2).alias("cost"), pct("click", "show").alias("ctr"),
-        F.round(ratio(c("_cost"), c("show")) * 1000, 2).alias("ecpm"), F.round(ratio(c("_cost"), c("click")), 2).alias("cpc"),
+        *keys, "req", "bid", "show", "click", round_places(c("_cost"), 2).alias("cost"), pct("click", "show").alias("ctr"),
+        round_places(ratio(c("_cost"), c("show")) * 1000, 2).alias("ecpm"), round_places(ratio(c("_cost"), c("click")), 2).alias("cpc"),
         pct("bid", "req").alias("bid_rate"), pct("show", "bid").alias("bid_success_rate"),
     )
 
@@ -48,7 +48,7 @@ def plan_kpis(df: DataFrame, keys: Sequence[str] = ("time", "plan_id"), cost_uni
 def slot_ecpm(df: DataFrame, keys: Sequence[str], income: str = "media_income") -> DataFrame:
     """Income per thousand shows; groups without shows are left out."""
     sums = df.groupBy(*keys).agg(F.sum(income).alias("_i"), F.sum("show").alias("show"))
-    return sums.where(F.col("show") != 0).select(*keys, "show", F.round(ratio(F.col("_i"), F.col("show")) * 1000, 2).alias("ecpm"))
+    return sums.where(F.col("show") != 0).select(*keys, "show", round_places(ratio(F.col("_i"), F.col("show")) * 1000, 2).alias("ecpm"))
 
 
 def join_report_blocks(upload: DataFrame, blocks: Sequence[DataFrame], keys: Sequence[str] = ("time", "plan_id")) -> DataFrame:
