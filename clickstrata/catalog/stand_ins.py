@@ -22,7 +22,7 @@ def events(t: Tables) -> DataFrame:
     """``events`` with its number from ``props`` (k), epoch seconds (sec), day and hour."""
     return t.events.select(
         "event_id", "user_id", "event_type", "value", "ts",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"), epoch_seconds("ts").alias("sec"),
+        F.regexp_extract("props", r"(\d+)", 1).cast("bigint").alias("k"), epoch_seconds("ts").alias("sec"),
         F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "HH").alias("hour"),
     )
 

@@ -30,12 +30,13 @@ def pairs_to_map(c: Column | str, pair_sep: str = "&", kv_sep: str = "=") -> Col
 def query_param(query: Column | str, name: str) -> Column:
     """Last value of one parameter of ``k=v&k=v`` text; null when absent.
 
-    Cheaper than building the whole map when the names are known: one compiled
-    pattern per parameter and no arrays.
+    The text is cut at every well-formed ``name=value`` pair and the last cut
+    taken.  ``query`` is referenced once, so a filter on the result can move
+    below the projection without evaluating the text again and again.
     """
-    key = re.escape(name)
-    one = f"(?<=^|&){key}=[^&=]*(?=&|$)"
-    return F.substring(F.regexp_substr(as_col(query), F.lit(f"{one}(?!.*&{key}=[^&=]*(?:&|$))")), len(name) + 2, 1_000_000)
+    pair = f"&{re.escape(name)}=(?=[^&=]*(?:&|$))"
+    after = F.slice(F.split(F.concat(F.lit("&"), as_col(query)), pair, -1), 2, 1_000_000)
+    return F.substring_index(F.try_element_at(after, F.lit(-1)), "&", 1)
 
 
 def query_text(request: Column | str) -> Column:

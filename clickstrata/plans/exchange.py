@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import NUMERIC_ID, blank_to, null_if_blank, require_numeric_ids, utc_bucket
 from ..operators.dims import DimSpec, lookup_dims
-from ..operators.funnel import FactSpec, merge_funnel, rollup
+from ..operators.funnel import FactSpec, measure_names, merge_funnel, rollup
 
 # Status codes of demand requests; -2 marks "does not apply".
 DEMAND_STATUS = {"dsp_fill_req": "1", "dsp_req_timeout": "201", "dsp_req_parse_error": "202", "dsp_req_invalid_ad": "203", "dsp_req_no_bid": "206"}
@@ -71,24 +71,14 @@ def _per_request(df: DataFrame, measures: Mapping[str, Column], extra: Mapping[s
     return one.withColumnsRenamed({"_dsp": "dsp_id", "_target": "target_id"})
 
 
-def request_level_dedup_agg(
-    df: DataFrame, measures: Mapping[str, Column], dims: Mapping[str, DataFrame], extra: Mapping[str, tuple[str, DimSpec]] | None = None
-) -> DataFrame:
-    """Two-phase aggregation: ``measures`` once per request, then summed per resolved dimension.
+RAW_KEYS = ["hour", "dsp_id", "target_id", "media_id", "posid_id", "pkg", "country", "platform", "style"]
 
-    ``extra`` adds dimensions beyond the usual ones: ``{raw name: (log column, look-up)}``.
-    """
-    extra = extra or {}
-    one = _per_request(df, measures, {name: src for name, (src, _) in extra.items()})
-    keys = ["hour", "dsp_id", "target_id", "media_id", "posid_id", "pkg", "country", "platform", "style", *extra]
-    grouped = one.withColumns({"media_id": blank_to("media_id"), "posid_id": blank_to("posid_id")})
-    grouped = rollup(grouped, keys, list(measures))
-    specs = exchange_dims(dims)
-    out = ["hour", "dsp_id", "target_id", *DIMS]
-    for _, spec in extra.values():
-        specs.append(spec)
-        out += list(spec.values)
-    return resolve_then_rollup(grouped, out, specs, {m: "sum" for m in measures})
+
+def request_level_dedup_agg(df: DataFrame, measures: Mapping[str, Column], dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Two-phase aggregation: ``measures`` once per request, then summed per resolved dimension."""
+    one = _per_request(df, measures, {}).withColumns({"media_id": blank_to("media_id"), "posid_id": blank_to("posid_id")})
+    grouped = rollup(one, RAW_KEYS, list(measures))
+    return resolve_then_rollup(grouped, ["hour", "dsp_id", "target_id", *DIMS], exchange_dims(dims), {m: "sum" for m in measures})
 
 
 def _once() -> Column:
@@ -130,35 +120,43 @@ def exchange_hourly(
 ) -> DataFrame:
     """The hourly exchange table: media requests plus the five demand-side blocks merged per key.
 
+    Each demand log is reduced to one row per request; all logs then meet on
+    their raw names in one aggregation, and ids are looked up once on its rows.
+
     ``logs`` has ``media_req, dsp_req, media_resp, imp, clk, dsp_win``.  Every
     measure comes from one block; only rows whose ids are all numeric are kept.
     With ``tag_dim`` the demand blocks carry ``tag_id``, with ``size_dim`` the
     responses carry ``adsize_id``; rows without either have ``-1``.
     """
-    blocks = []
+    blank_ids = {c: blank_to(c) for c in ("dsp_id", "target_id", "media_id", "posid_id")}
+    optional = (["tag"] if tag_dim is not None else []) + (["size"] if size_dim is not None else [])
+    media = logs["media_req"]
+    none = {"dsp_id": F.lit(NOT_APPLICABLE), "target_id": F.lit(NOT_APPLICABLE)}
+    facts = [FactSpec(
+        media, {"hour": utc_bucket("req_time", "hour"), **none, **_raw_dims(media), **{c: F.lit(None).cast("string") for c in optional}},
+        {"ssp_req": F.lit(1).cast("bigint"), "ssp_floor": F.col("req_floor_price").try_cast("double")},
+    )]
     for name, measures in (
         ("dsp_req", demand_request_measures()), ("media_resp", response_measures()), ("imp", impression_measures()),
         ("clk", click_measures()), ("dsp_win", win_measures()),
     ):
         log, extra = logs[name], {}
         if tag_dim is not None:
-            extra["tag"] = ("tag_id", DimSpec(tag_dim, "tag", "name", {"tag_id": "id"}))
+            extra["tag"] = "tag_id"
         if size_dim is not None and name == "media_resp":
-            log = log.withColumn("_size", ad_size())
-            extra["size"] = ("_size", DimSpec(size_dim, "size", "name", {"adsize_id": "id"}))
-        blocks.append(request_level_dedup_agg(log, measures, dims, extra))
-    optional = (["tag_id"] if tag_dim is not None else []) + (["adsize_id"] if size_dim is not None else [])
-    keys = ["hour", "dsp_id", "target_id", *DIMS, *optional]
-    facts = [
-        FactSpec(b, {k: (F.col(k) if k in b.columns else F.lit("-1")) for k in keys}, {m: m for m in b.columns if m not in keys})
-        for b in blocks
-    ]
-    demand = merge_funnel(facts, keys, fill=None)
-    demand = demand.withColumns({c: blank_to(F.col(c).cast("string")) for c in ("dsp_id", "target_id")})
-    media = media_request_hourly(logs["media_req"], dims).withColumns(
-        {"dsp_id": F.lit(NOT_APPLICABLE), "target_id": F.lit(NOT_APPLICABLE), **{c: F.lit("-1") for c in optional}}
-    )
-    both = media.unionByName(demand, allowMissingColumns=True).withColumn("time", utc_bucket("hour", "day"))
+            log, extra["size"] = log.withColumn("_size", ad_size()), "_size"
+        one = _per_request(log, measures, extra)
+        keys = {k: blank_ids.get(k, F.col(k)) for k in RAW_KEYS}
+        keys |= {c: F.col(c) if c in extra else F.lit(None).cast("string") for c in optional}
+        facts.append(FactSpec(one, keys, {m: m for m in measures}))
+    raw = merge_funnel(facts, [*RAW_KEYS, *optional], fill=None)
+    specs, out = exchange_dims(dims), ["hour", "dsp_id", "target_id", *DIMS]
+    for raw_name, dim, name in (("tag", tag_dim, "tag_id"), ("size", size_dim, "adsize_id")):
+        if dim is not None:
+            specs.append(DimSpec(dim, raw_name, "name", {name: "id"}))
+            out.append(name)
+    both = resolve_then_rollup(raw, out, specs, {m: "sum" for m in measure_names(facts)})
+    both = both.withColumn("time", utc_bucket("hour", "day"))
     return require_numeric_ids(both, ["posid_id", "media_id", "dsp_id", *LOOKED_UP], NUMERIC_ID)
 
 
