@@ -85,7 +85,6 @@ def read_targz(spark: SparkSession, glob: str, encoding: str = "utf-8", batch_li
     files = spark.read.format("binaryFile").load(glob).select("path", "length")
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
         import tarfile
 
         from pyarrow import fs
@@ -100,8 +99,8 @@ def read_targz(spark: SparkSession, glob: str, encoding: str = "utf-8", batch_li
                         if handle is None:
                             continue
                         pending: list[str] = []
-                        for line in io.TextIOWrapper(handle, encoding=encoding):
-                            pending.append(line.rstrip("\r\n"))
+                        for line in handle:
+                            pending.append(line.decode(encoding).rstrip("\r\n"))
                             if len(pending) == batch_lines:
                                 yield pd.DataFrame({"archive": path, "member": member.name, "value": pending})
                                 pending = []
