@@ -40,6 +40,11 @@ def _(t: Tables):
     return R.share_of_total(R.count_by_key(events(t), ["user_id", "event_type"], "n"), "n", ["user_id"], "share")
 
 
+@query("share_of_wide_group", f"WITH {EVENTS_CTE} SELECT day, user_id, count(*) AS n, {r('count(*) / sum(count(*)) OVER (PARTITION BY day)')} AS share FROM ev GROUP BY day, user_id")
+def _(t: Tables):
+    return R.share_of_total(R.count_by_key(events(t), ["day", "user_id"], "n"), "n", ["day"], "share", wide=True)
+
+
 @query("share_of_all", f"WITH {EVENTS_CTE} SELECT event_type, count(*) AS n, {r('count(*) / sum(count(*)) OVER ()')} AS share FROM ev GROUP BY ALL")
 def _(t: Tables):
     return R.share_of_total(R.count_by_key(events(t), ["event_type"], "n"), "n", [], "share")
@@ -110,8 +115,11 @@ def _(t: Tables):
     return sets.select(F.concat_ws(",", F.sort_array("items")).alias("items"), "freq")
 
 
-@query("association_rules", f"""WITH {BRANDS_CTE}, one AS (SELECT i, count(*) AS f FROM b GROUP BY i), two AS (SELECT x.i AS a, y.i AS c, count(*) AS f FROM b x JOIN b y ON x.o = y.o AND x.i <> y.i GROUP BY 1, 2)
-SELECT two.a AS antecedent, two.c AS consequent, {r('two.f / one.f')} AS confidence, {r('CAST(two.f AS DOUBLE) / n')} AS support FROM two JOIN one ON two.a = one.i, n WHERE two.f >= ceil(n * {SUPPORT}) AND one.f >= ceil(n * {SUPPORT}) AND two.f / one.f >= 0.1""")
+@query("association_rules", f"""WITH {BRANDS_CTE}, one AS (SELECT i AS a, count(*) AS f FROM b GROUP BY i), two AS (SELECT x.i AS p, y.i AS q, count(*) AS f FROM b x JOIN b y ON x.o = y.o AND x.i < y.i GROUP BY 1, 2),
+three AS (SELECT x.i AS p, y.i AS q, z.i AS s, count(*) AS f FROM b x JOIN b y ON x.o = y.o AND x.i < y.i JOIN b z ON x.o = z.o AND y.i < z.i GROUP BY 1, 2, 3),
+sets AS (SELECT a, f FROM one UNION ALL SELECT p || ',' || q, f FROM two),
+parts AS (SELECT p AS a, q AS c, f FROM two UNION ALL SELECT q, p, f FROM two UNION ALL SELECT p || ',' || q, s, f FROM three UNION ALL SELECT p || ',' || s, q, f FROM three UNION ALL SELECT q || ',' || s, p, f FROM three)
+SELECT parts.a AS antecedent, c AS consequent, {r('parts.f / sets.f')} AS confidence, {r('CAST(parts.f AS DOUBLE) / n')} AS support FROM parts JOIN sets ON parts.a = sets.a, n WHERE parts.f >= ceil(n * {SUPPORT}) AND parts.f / sets.f >= 0.1""")
 def _(t: Tables):
     _, rules = K.freq_itemsets(brand_baskets(t), "items", SUPPORT, 0.1)
-    return rules.select(F.concat_ws(",", "antecedent").alias("antecedent"), F.concat_ws(",", "consequent").alias("consequent"), "confidence", "support")
+    return rules.select(F.concat_ws(",", F.sort_array("antecedent")).alias("antecedent"), F.concat_ws(",", "consequent").alias("consequent"), "confidence", "support")

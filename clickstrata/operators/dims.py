@@ -168,20 +168,18 @@ def ip_geo_join(
     ``ranges`` has non-overlapping inclusive numeric bounds.  Both sides are
     keyed by the leading ``prefix_bits`` of the address (a range is repeated for
     each prefix it touches, at most ``2**prefix_bits`` times), which turns the
-    range test into an equi join with a small residual filter.  Distinct
-    addresses are resolved, not rows, and joined back, so a busy address is
-    looked up once.
+    range test into an equi join whose residual condition leaves at most one
+    range per row.  Rows are read and moved once, or not at all when the ranges
+    are small enough for Spark to broadcast; a busy prefix is split by the skew
+    join handling.
     """
     width = 1 << (32 - prefix_bits)
-    r = ranges.select(
-        F.col(start).cast("bigint").alias("_s"), F.col(end).cast("bigint").alias("_e"), *values
-    )
-    r = r.withColumn("_p", F.explode(F.sequence(F.floor(F.col("_s") / width), F.floor(F.col("_e") / width))))
-    ips = df.select(F.col(ip).alias("_ip")).where(F.col("_ip").isNotNull()).distinct()
-    ips = ips.withColumn("_n", ip_to_long("_ip")).where(F.col("_n").isNotNull())
-    ips = ips.withColumn("_p", F.floor(F.col("_n") / width))
-    hit = ips.join(r, "_p").where(F.col("_n").between(F.col("_s"), F.col("_e"))).select("_ip", *values)
-    return df.join(hit, F.col(ip) == F.col("_ip"), "left").select(*df.columns, *values)
+    r = ranges.select(F.col(start).cast("bigint").alias("_s"), F.col(end).cast("bigint").alias("_e"), *values)
+    r = r.withColumn("_rp", F.explode(F.sequence(F.floor(F.col("_s") / width), F.floor(F.col("_e") / width))))
+    rows = df.select(*[c for c in df.columns if c not in values], ip_to_long(ip).alias("_n"))
+    rows = rows.withColumn("_p", F.floor(F.col("_n") / width))
+    cond = (F.col("_p") == F.col("_rp")) & F.col("_n").between(F.col("_s"), F.col("_e"))
+    return rows.join(r, cond, "left").drop("_n", "_p", "_rp", "_s", "_e")
 
 
 def build_link_dim(tags: DataFrame, links: DataFrame, on: Mapping[str, str], keep: Sequence[str]) -> DataFrame:

@@ -99,63 +99,74 @@ def click_timing(df: DataFrame, keys: Sequence[str], time: str, start: Column |
     )
 
 
-def distinct_count(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
-    pairs = df.select(*keys, col).distinct()
-    return pairs.groupBy(*keys).agg(F.count(col).alias(out))
-
-
-def creative_block(
-    df: DataFrame, keys: Sequence[str], id_col: str, prefix: str, creative: str, price: str | None, apps: str | None = None
+def attribute_profile(
+    df: DataFrame, keys: Sequence[str], modes: Mapping[str, str], distincts: Mapping[str, str], price: str | None,
+    maxima: Sequence[str], prefix: str, count: str,
 ) -> DataFrame:
-    """Impression or click block: count, share of the id's total, distinct and top creative, price range."""
-    first = df.select(*keys, F.col(creative).cast("string").alias("_c"), (F.col(price).try_cast("double") if price else F.lit(None).cast("double")).alias("_p"))
-    per_creative = first.groupBy(*keys, "_c").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_p").alias("_ps"), F.count("_p").alias("_pn"),
-        F.max("_p").alias("_px"), F.min("_p").alias("_pm"),
+    """Per key: row count, price range, maxima, top value and distinct count of attributes, in one pass over ``df``.
+
+    ``modes`` and ``distincts`` map outputs to columns.  Rows are first compacted
+    to one per (key, attributes), because a device repeats its attributes on
+    almost every line.  Compact rows are then laid out long, one row for the
+    totals and one per attribute, so that counts per (key, attribute, value) and
+    totals come from the same two aggregations: no self join, no second scan and
+    no per-key set of values in memory.
+    """
+    attrs = list(dict.fromkeys([*modes.values(), *distincts.values()]))
+    p = F.col(price).try_cast("double") if price else F.lit(None).cast("double")
+    rows = df.select(*keys, *[F.col(a).cast("string").alias(f"_a_{a}") for a in attrs], *[F.col(m).alias(f"_m_{m}") for m in maxima], p.alias("_p"))
+    compact = rows.groupBy(*keys, *[f"_a_{a}" for a in attrs]).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_p").alias("_ps"), F.count("_p").alias("_pn"), F.max("_p").alias("_px"), F.min("_p").alias("_pm"),
+        *[F.max(f"_m_{m}").alias(f"_m_{m}") for m in maxima],
+    )
+    carried = ["_ps", "_pn", "_px", "_pm", *[f"_m_{m}" for m in maxima]]
+    types = dict(compact.dtypes)
+
+    def layout(tag: str, value: Column) -> Column:
+        only_total = [F.col(c) if tag == "" else F.lit(None).cast(types[c]) for c in carried]
+        return F.struct(F.lit(tag).alias("_attr"), value.alias("_val"), *[c.alias(n) for c, n in zip(only_total, carried)])
+
+    layouts = [layout("", F.lit(None).cast("string")), *[layout(a, F.col(f"_a_{a}")) for a in attrs]]
+    long = compact.select(*keys, "_n", F.inline(F.array(*layouts)))
+    counts = long.groupBy(*keys, "_attr", "_val").agg(
+        F.sum("_n").alias("_n"), F.sum("_ps").alias("_ps"), F.sum("_pn").alias("_pn"), F.max("_px").alias("_px"), F.min("_pm").alias("_pm"),
+        *[F.max(f"_m_{m}").alias(f"_m_{m}") for m in maxima],
     )
-    ranked = F.when(F.col("_c").isNotNull() & (F.col("_c") != ""), F.struct((-F.col("_n")).alias("n"), F.col("_c").alias("v")))
-    block = per_creative.groupBy(*keys).agg(
-        F.sum("_n").alias(f"{prefix}_cnt"),
-        F.count("_c").alias(f"{prefix}_creative_count"),
-        F.coalesce(F.min(ranked).getField("v"), F.lit("")).alias(f"{prefix}_max_count_creative"),
+    usable = F.col("_val").isNotNull() & (F.col("_val") != "")
+
+    def top(a: str) -> Column:
+        ranked = F.when((F.col("_attr") == a) & usable, F.struct((-F.col("_n")).alias("n"), F.col("_val").alias("v")))
+        return F.coalesce(F.min(ranked).getField("v"), F.lit(""))
+
+    return counts.groupBy(*keys).agg(
+        F.sum(F.when(F.col("_attr") == "", F.col("_n"))).alias(f"{prefix}_{count}"),
         *([
             F.try_divide(F.sum("_ps"), F.sum("_pn").cast("double")).alias(f"{prefix}_avg_real_price"),
-            F.max("_px").alias(f"{prefix}_max_real_price"),
-            F.min("_pm").alias(f"{prefix}_min_real_price"),
+            F.max("_px").alias(f"{prefix}_max_real_price"), F.min("_pm").alias(f"{prefix}_min_real_price"),
         ] if price else []),
+        *[F.max(f"_m_{m}").alias(m) for m in maxima],
+        *[top(a).alias(out) for out, a in modes.items()],
+        *[F.count(F.when(F.col("_attr") == a, F.col("_val"))).alias(out) for out, a in distincts.items()],
     )
-    block = share_of_total(block, f"{prefix}_cnt", [id_col], f"{prefix}_rate")
-    if apps:
-        block = join_null_safe(block, distinct_count(df, keys, apps, f"{prefix}_app_count"), keys)
-    return block
+
+
+def creative_block(
+    df: DataFrame, keys: Sequence[str], id_col: str, prefix: str, creative: str, price: str | None, apps: str | None = None
+) -> DataFrame:
+    """Impression or click block: count, share of the id's total, distinct and top creative, price range."""
+    distincts = {f"{prefix}_creative_count": creative} | ({f"{prefix}_app_count": apps} if apps else {})
+    block = attribute_profile(df, keys, {f"{prefix}_max_count_creative": creative}, distincts, price, (), prefix, "cnt")
+    return share_of_total(block, f"{prefix}_cnt", [id_col], f"{prefix}_rate")
 
 
 def request_block(
     df: DataFrame, keys: Sequence[str], id_col: str, mode_cols: Sequence[str], max_cols: Sequence[str], price: str,
     prefix: str = "req", apps: str | None = None,
 ) -> DataFrame:
-    """Request block: modes and maxima of attributes, count, share and price range.
-
-    Rows are compacted to one per (key, mode attributes) before anything else; a
-    device repeats its attributes on almost every request.
-    """
-    compact = df.groupBy(*keys, *mode_cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col(price).try_cast("double")).alias("_ps"),
-        F.count(F.col(price).try_cast("double")).alias("_pn"), F.max(F.col(price).try_cast("double")).alias("_px"),
-        F.min(F.col(price).try_cast("double")).alias("_pm"), *[F.max(c).alias(c) for c in max_cols],
-    )
-    totals = compact.groupBy(*keys).agg(
-        F.sum("_n").alias(f"{prefix}_count"),
-        F.try_divide(F.sum("_ps"), F.sum("_pn").cast("double")).alias(f"{prefix}_avg_real_price"),
-        F.max("_px").alias(f"{prefix}_max_real_price"), F.min("_pm").alias(f"{prefix}_min_real_price"),
-        *[F.max(c).alias(c) for c in max_cols],
-    )
-    block = share_of_total(totals, f"{prefix}_count", [id_col], f"{prefix}_rate")
-    if mode_cols:
-        block = join_null_safe(block, modes(compact, keys, mode_cols, weight="_n"), keys)
-    if apps:
-        block = join_null_safe(block, distinct_count(df, keys, apps, f"{prefix}_app_count"), keys)
-    return block
+    """Request block: top values and maxima of attributes, count, share and price range."""
+    distincts = {f"{prefix}_app_count": apps} if apps else {}
+    block = attribute_profile(df, keys, {c: c for c in mode_cols}, distincts, price, max_cols, prefix, "count")
+    return share_of_total(block, f"{prefix}_count", [id_col], f"{prefix}_rate")
 
 
 @dataclass(frozen=True)
@@ -180,8 +191,7 @@ def behaviour_features(
 
     ``keys`` decides the grain (app, id, slot / id) and the caller's scan decides
     the days.  With ``day_start`` the click timing columns are added.  Shares
-    are part over total.  Every block ends hash-partitioned by ``keys``, so the
-    joins add no exchange.
+    are part over total.  Each log is read once (clicks once more for the timing).
     """
     out = request_block(req, keys, spec.id_col, spec.mode_cols, spec.max_cols, spec.req_price, apps=spec.apps)
     imps = creative_block(imp, keys, spec.id_col, "imp", spec.creative, spec.price, spec.apps)

@@ -69,21 +69,28 @@ def top_items_by(df: DataFrame, group: str, item: str, n: int = 100) -> DataFram
     return topn_per_group(counts, [group], [F.desc("cnt"), F.asc(item)], n, rank_col="rn")
 
 
-def share_of_total(df: DataFrame, measure: str, partition: Sequence[str], out: str) -> DataFrame:
-    """``measure`` over its total per partition, part / total.
-
-    The total is an aggregation joined back rather than a window: a partition
-    with very many rows is summed map-side and its rows stay spread by the join.
-    Null keys form one partition.
+def share_of_total(df: DataFrame, measure: str, partition: Sequence[str], out: str, wide: bool = False) -> DataFrame:
+    """``measure`` over its total per partition, part / total; null keys form one partition.
+
+    Meant for aggregated rows.  By default one window over ``partition``, which
+    reads ``df`` once: right when a partition has few rows (one user's days).
+    ``wide=True`` is for few partitions with very many rows (one day's users):
+    totals are aggregated map-side and joined back, so no task sees a whole
+    partition; ``df`` is then evaluated twice, so persist or store it first.  An
+    empty ``partition`` (share of everything) is always computed that way.
     """
+    part = F.col(measure).cast("double")
     if not partition:
         total = df.agg(F.sum(measure).alias("_t"))
-        return df.withColumn(out, F.try_divide(F.col(measure).cast("double"), total.scalar().cast("double")))
+        return df.withColumn(out, F.try_divide(part, total.scalar().cast("double")))
+    if not wide:
+        total = F.sum(measure).over(Window.partitionBy(*partition)).cast("double")
+        return df.withColumn(out, F.try_divide(part, total))
     totals = df.groupBy(*partition).agg(F.sum(measure).cast("double").alias("_t"))
     totals = totals.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(partition)], "_t")
     cond = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_p{i}")) for i, p in enumerate(partition)])
     joined = df.join(totals, cond, "left")
-    return joined.select(*df.columns, F.try_divide(F.col(measure).cast("double"), F.col("_t")).alias(out))
+    return joined.select(*df.columns, F.try_divide(part, F.col("_t")).alias(out))
 
 
 def drop_duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

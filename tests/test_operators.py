@@ -104,8 +104,9 @@ def test_rank_filters_cut_groups_before_the_shuffle(spark, hot):
 
 def test_share_of_total_sums_to_one_also_for_null_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), (None, 2), (None, 2), ("z", 0)], "k string, n int")
-    got = sorted(((r.k, r.n, r.s) for r in R.share_of_total(df, "n", ["k"], "s").collect()), key=repr)
-    assert got == sorted([("a", 1, 0.25), ("a", 3, 0.75), (None, 2, 0.5), (None, 2, 0.5), ("z", 0, None)], key=repr)
+    for wide in (False, True):
+        got = sorted(((r.k, r.n, r.s) for r in R.share_of_total(df, "n", ["k"], "s", wide=wide).collect()), key=repr)
+        assert got == sorted([("a", 1, 0.25), ("a", 3, 0.75), (None, 2, 0.5), (None, 2, 0.5), ("z", 0, None)], key=repr)
 
 
 def test_cookie_items_with_hot_visitor(spark, hot):
