@@ -17,7 +17,7 @@ _SQL: dict[str, str] = {}
 
 
 class Tables:
-    """The given tables of one scale directory."""
+    """The given tables of one scale directory; each is opened once."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -25,7 +25,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def tidy(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.cleaning import is_blank
+from ..sinks.snapshots import complete_versions, upsert
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -90,8 +91,12 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
 
 def read_change_log(spark: SparkSession, path: str, keys: Sequence[str], modes: Mapping[str, str] | None = None, default: str = "replace") -> DataFrame:
     """Merged view of a change log: per key, ``replace`` (newest batch), ``keep_blank`` (newest non-blank), ``add`` or ``max`` per column."""
+    return merge_change_log(spark.read.parquet(path), keys, modes, default)
+
+
+def merge_change_log(log: DataFrame, keys: Sequence[str], modes: Mapping[str, str] | None = None, default: str = "replace") -> DataFrame:
+    """The same for an opened log with its ``batch`` column; one aggregation."""
     modes = modes or {}
-    log = spark.read.parquet(path)
     cols = [c for c in log.columns if c not in (*keys, "batch")]
 
     def pick(c: str):
@@ -104,3 +109,17 @@ def read_change_log(spark: SparkSession, path: str, keys: Sequence[str], modes:
         return F.max(F.when(~is_blank(c), entry) if mode == "keep_blank" else entry).getField("v")
 
     return log.groupBy(*keys).agg(*[pick(c).alias(c) for c in cols])
+
+
+def fold_change_log(
+    spark: SparkSession, log_path: str, snapshot_path: str, keys: Sequence[str], upto: int,
+    modes: Mapping[str, str] | None = None, default: str = "replace",
+) -> None:
+    """Merge the batches after the last fold, up to ``upto``, into a snapshot, which takes ``upto`` as its version.
+
+    Running it again, also after a failure, gives the same snapshot.  Current
+    values are then the snapshot merged with the batches above its version.
+    """
+    done = [v for v in complete_versions(spark, snapshot_path) if v < upto]
+    log = spark.read.parquet(log_path).where((F.col("batch") > (done[-1] if done else -1)) & (F.col("batch") <= upto))
+    upsert(spark, snapshot_path, merge_change_log(log, keys, modes, default), keys, upto, modes, default)

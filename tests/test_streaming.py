@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from clickstrata.sinks.snapshots import read_snapshot
 from clickstrata.streaming import enrich as E
 from clickstrata.streaming import orders as O
 from clickstrata.streaming import run as U
@@ -99,8 +100,13 @@ def test_counters_add_up_and_a_replayed_batch_counts_once(spark, rows, tmp_path,
     sink = U.change_log_sink(out[0], lambda b: W.event_counters(b, ["key"]))
     U.run_stream(stream, sink, out[1])
     sink(spark.createDataFrame([("a", "0"), ("b", "2")], schema), 1)
-    got = U.read_change_log(spark, out[0], ["key"], default="add")
-    assert rows(got, "key", "req_num", "success_num", "fail_num", "imp_cnt") == [("a", 2, 0, 0, 1), ("b", 0, 0, 1, 0)]
+    cols = ["key", "req_num", "success_num", "fail_num", "imp_cnt"]
+    want = [("a", 2, 0, 0, 1), ("b", 0, 0, 1, 0)]
+    assert rows(U.read_change_log(spark, out[0], ["key"], default="add"), *cols) == want
+    # Folding in two steps, the second one twice, counts every batch once.
+    for upto in (0, 1, 1):
+        U.fold_change_log(spark, out[0], str(tmp_path / "snap"), ["key"], upto, default="add")
+    assert rows(read_snapshot(spark, str(tmp_path / "snap")), *cols) == want
 
 
 def test_run_resumes_from_its_checkpoint_and_stops_on_the_marker(spark, rows, tmp_path, out):
