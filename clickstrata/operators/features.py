@@ -207,15 +207,15 @@ def link_conversions(
 ) -> DataFrame:
     """Conversions of known devices, one row per key with a 0/1 column per tag.
 
-    Conversions are aggregated per key before the join and devices only filter
-    it, so neither side multiplies the other.
+    Both sides are reduced to one row per key before they meet, so neither
+    multiplies the other and repeated requests are combined map-side.
     """
     per_key = conversions.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in carry],
         F.max(tag).alias(tag),
         *[F.max(F.when(F.col(tag) == code, 1).otherwise(0)).alias(name) for code, name in tags.items()],
     )
-    return per_key.join(devices.select(*keys), list(keys), "left_semi")
+    return per_key.join(devices.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def behaviour_daily(
