@@ -103,23 +103,36 @@ def _(t: Tables):
     return X.media_request_hourly(exchange_log(t), exchange_dims(t))
 
 
-def block_sql(name: str, where: str, inner: str, outer: str) -> str:
-    """Two-phase block: once per request, then per resolved dimension."""
+def block_sql(name: str, where: str, inner: str, outer: str, tagged: bool = False) -> str:
+    """Two-phase block: once per request, then per resolved dimension; ``tagged`` adds tag and, for responses, size."""
+    extra, joins = "", ""
+    if tagged:
+        size = "max('640*' || adsolt_id)" if name == "b_resp" else "NULL"
+        inner = f"max(adsolt_type) AS tag, {size} AS size, {inner}"
+        extra = "coalesce(d_tag.id, '-1') AS tag_id, coalesce(d_size.id, '-1') AS adsize_id, "
+        joins = f" LEFT JOIN d_tag ON {name}1.tag = d_tag.name LEFT JOIN d_size ON {name}1.size = d_size.name"
     return f"""{name}0 AS (SELECT request_id, real_dsp_id AS dsp_id, dsp_id AS target_id, req_time - req_time % 3600 AS hour, max(app_id) AS app, max(adsolt_id) AS slot, max(pkg_name) AS pkg, max(country) AS country,
   max(os) AS platform, max(adsolt_type) AS style, {inner} FROM x WHERE {where} GROUP BY 1, 2, 3, 4),
 {name}1 AS (SELECT *, {blank('app')} AS media_id, {blank('slot')} AS posid_id FROM {name}0),
-{name} AS (SELECT hour, dsp_id, target_id, {name}1.media_id, posid_id, {RESOLVE}, {outer} FROM {name}1 {RESOLVE_JOINS.format(a=name + '1')} GROUP BY ALL)"""
+{name} AS (SELECT hour, dsp_id, target_id, {name}1.media_id, posid_id, {RESOLVE}, {extra}{outer} FROM {name}1 {RESOLVE_JOINS.format(a=name + '1')}{joins} GROUP BY ALL)"""
 
 
 STATUS_INNER = "1 AS dsp_req, sum(dsp_bid_price) FILTER (WHERE staus_code = '1') AS dsp_floor, " + ", ".join(f"count(*) FILTER (WHERE staus_code = '{code}') AS {n}" for n, code in X.DEMAND_STATUS.items())
 STATUS_OUTER = ", ".join(f"sum({m}) AS {m}" for m in ["dsp_req", "dsp_floor", *X.DEMAND_STATUS])
-BLOCKS = {
-    "b_req": block_sql("b_req", in_types("view", "signup"), STATUS_INNER, STATUS_OUTER),
-    "b_resp": block_sql("b_resp", in_types("signup"), "1 AS dsp_win, max(dsp_bid) AS dsp_win_price", "sum(dsp_win) AS dsp_win, sum(dsp_win_price) AS dsp_win_price"),
-    "b_imp": block_sql("b_imp", in_types("purchase"), "1 AS imp, max(dsp_final_price) AS revenue, max(ssp_final_price) AS cost", "sum(imp) AS imp, sum(revenue) AS revenue, sum(cost) AS cost"),
-    "b_clk": block_sql("b_clk", in_types("click"), "1 AS clk", "sum(clk) AS clk"),
-    "b_win": block_sql("b_win", in_types("error"), "1 AS ssp_win", "sum(ssp_win) AS ssp_win"),
-}
+
+
+def block_ctes(tagged: bool = False) -> dict[str, str]:
+    parts = {
+        "b_req": (in_types("view", "signup"), STATUS_INNER, STATUS_OUTER),
+        "b_resp": (in_types("signup"), "1 AS dsp_win, max(dsp_bid) AS dsp_win_price", "sum(dsp_win) AS dsp_win, sum(dsp_win_price) AS dsp_win_price"),
+        "b_imp": (in_types("purchase"), "1 AS imp, max(dsp_final_price) AS revenue, max(ssp_final_price) AS cost", "sum(imp) AS imp, sum(revenue) AS revenue, sum(cost) AS cost"),
+        "b_clk": (in_types("click"), "1 AS clk", "sum(clk) AS clk"),
+        "b_win": (in_types("error"), "1 AS ssp_win", "sum(ssp_win) AS ssp_win"),
+    }
+    return {name: block_sql(name, *p, tagged=tagged) for name, p in parts.items()}
+
+
+BLOCKS, TAGGED_BLOCKS = block_ctes(), block_ctes(True)
 XKEYS = ["hour", "dsp_id", "target_id", "media_id", "posid_id", "pkg_id", "country_id", "platform_id", "style_id", "mlevel_id"]
 XCOUNTS = ["dsp_req", "dsp_fill_req", "dsp_req_timeout", "dsp_req_parse_error", "dsp_req_invalid_ad", "dsp_req_no_bid", "dsp_win", "imp", "clk", "ssp_win", "ssp_req"]
 XSUMS = ["dsp_floor", "dsp_win_price", "revenue", "cost", "ssp_floor"]
@@ -138,7 +151,13 @@ def _(t: Tables):
     return X.exchange_hourly(exchange_logs(t), exchange_dims(t))
 
 
-@query("exchange_hourly_tags_sizes")
+TKEYS = [*XKEYS, "tag_id", "adsize_id"]
+TAG_DIMS = "d_tag AS (SELECT CAST(r_regionkey AS VARCHAR) AS name, CAST(r_regionkey + 60 AS VARCHAR) AS id FROM region), d_size AS (SELECT '640*' || r_regionkey AS name, CAST(r_regionkey + 9 AS VARCHAR) AS id FROM region)"
+
+
+@query("exchange_hourly_tags_sizes", f"""WITH {EXCHANGE_CTE}, {EXCHANGE_DIMS_CTE}, {TAG_DIMS}, {MEDIA_SQL}, {', '.join(TAGGED_BLOCKS.values())},
+un AS (SELECT *, '-2' AS dsp_id, '-2' AS target_id, '-1' AS tag_id, '-1' AS adsize_id FROM mh {' '.join(f'UNION ALL BY NAME SELECT * FROM {b}' for b in TAGGED_BLOCKS)})
+SELECT {', '.join(TKEYS)}, hour - hour % 86400 AS time, {', '.join(f'CAST(sum({m}) AS BIGINT) AS {m}' for m in XCOUNTS)}, {', '.join(f'{r(f"sum({m})")} AS {m}' for m in XSUMS)} FROM un GROUP BY {', '.join(TKEYS)}""")
 def _(t: Tables):
     dims = exchange_dims(t)
     logs = exchange_logs(t)
