@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import exact_dedup, mixing
+from clickstrata.llm import boosted_rules, exact_dedup, factorisation, licenses, mixing
 from clickstrata.llm.common import table
+from clickstrata.llm.docstats import BASE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = factorisation.fit(docs, labels)
+    return factorisation.classified(docs, machine, carry=["doc_id"])
+
+
+def op2_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    trees = boosted_rules.fit(docs, labels)
+    return boosted_rules.quality_rules(docs, trees, carry=["doc_id"]).select("doc_id", *BASE, "base_failed", "kept", "score")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_duplicates(docs).drop("text")
@@ -23,12 +36,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, mixing.mix_plan(docs)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_factorisation": op1_factorisation,
+    "op2_boosted_rules": op2_boosted_rules,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_mixing": op8_mixing,
+    "op10_licenses": op10_licenses,
 }
 
 SQL: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op8_mixing": mixing.SQL,
+    "op10_licenses": licenses.duckdb_sql(),
 }
