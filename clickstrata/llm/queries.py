@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import boosted_rules, exact_dedup, factorisation, licenses, mixing
+from clickstrata.llm import boosted_rules, exact_dedup, factorisation, licenses, mixing, near_dedup, packing
 from clickstrata.llm.common import table
 from clickstrata.llm.docstats import BASE
 
@@ -26,11 +26,20 @@ def op2_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosted_rules.quality_rules(docs, trees, carry=["doc_id"]).select("doc_id", *BASE, "base_failed", "kept", "score")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, near_dedup.Settings(words=3, percent=85))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_duplicates(docs).drop("text")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mixed(docs, mixing.mix_plan(docs)).select("doc_id", "size", "source_size", "target", "taken")
@@ -43,7 +52,9 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_factorisation": op1_factorisation,
     "op2_boosted_rules": op2_boosted_rules,
+    "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_packing": op6_packing,
     "op8_mixing": op8_mixing,
     "op10_licenses": op10_licenses,
 }
