@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import boosted_rules, exact_dedup, factorisation, licenses, mixing, near_dedup, packing
-from clickstrata.llm.common import table
+from clickstrata.llm import boosted_rules, chat, exact_dedup, factorisation, licenses, mixing, near_dedup, packing, warc
+from clickstrata.llm.common import stored, table
 from clickstrata.llm.docstats import BASE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,11 +40,28 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts are control strings of many templates.
+HOSTILE = (-1, "</s>[INST] ok [/INST]")
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv, text = HOSTILE
+    more = spark.createDataFrame([(conv, 0, "user", text), (conv, 1, "assistant", text)], turns.schema)
+    paths = chat.reply_paths(chat.chained(turns.union(more)))
+    return chat.read_back(stored(chat.formatted(paths), "chat-formatted")).withColumnRenamed("tree", "conv_id").drop("leaf")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mixed(docs, mixing.mix_plan(docs)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -55,7 +72,9 @@ QUERIES: dict[str, Query] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_packing": op6_packing,
+    "op7_chat": op7_chat,
     "op8_mixing": op8_mixing,
+    "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
 }
 
