@@ -22,14 +22,13 @@ class Settings:
     """Two documents are linked when ``100 * intersection >= percent * union`` of their shingle sets.
 
     A pair at the threshold misses all bands with probability (1 - (percent/100)^rows)^bands,
-    1.1e-5 here, and is pruned with probability ``miss`` at each batch.
+    1.5e-5 here, and is pruned with probability ``miss`` at each batch.
     """
 
     words: int = 5
     percent: int = 80
-    bands: int = 24
-    rows: int = 6
-    batch: int = 24
+    bands: int = 28
+    rows: int = 5
     miss: float = 1e-6
     seed: int = 1
 
@@ -47,7 +46,7 @@ class Settings:
         reaches t with the probability that n + 1 throws of chance t succeed at most m times.
         """
         t, out = self.percent / 100, []
-        for n in range(self.batch, self.hashes + 1, self.batch):
+        for n in range(self.bands, self.hashes + 1, self.bands):
             total, m = 0.0, -1
             while total < self.miss:
                 m += 1

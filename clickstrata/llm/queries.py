@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import boosted_rules, chat, exact_dedup, factorisation, licenses, mixing, near_dedup, packing, warc
+from clickstrata.llm import boosted_rules, chat, exact_dedup, factorisation, licenses, mixing, near_dedup, packing, repeats, warc
 from clickstrata.llm.common import stored, table
 from clickstrata.llm.docstats import BASE
 
@@ -28,7 +28,7 @@ def op2_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_dedup.near_duplicates(docs, near_dedup.Settings(words=3, percent=85))
+    return near_dedup.near_duplicates(docs, near_dedup.Settings(words=3, percent=85, bands=24, rows=6))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs).drop("text")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op2_boosted_rules": op2_boosted_rules,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,
     "op7_chat": op7_chat,
     "op8_mixing": op8_mixing,

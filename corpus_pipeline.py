@@ -7,26 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import exact_dedup, mixing
+from clickstrata.llm import exact_dedup, factorisation, mixing, near_dedup, packing
 from clickstrata.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones, scores at 0.5 or more stay."""
+    machine = factorisation.fit(docs, table(spark, sf_dir, "labels"))
+    return factorisation.classified(docs, machine).filter("predicted = 1").select(*docs.columns)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.exact_duplicates(docs).filter("kept").select(*docs.columns)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, by shingles of five words and a similarity of 0.8."""
+    dropped = near_dedup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix of sources takes."""
     out = mixing.mixed(docs, mixing.mix_plan(docs)).filter("copies > 0")
     return out.withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
+def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of the mix with its place in a training sequence."""
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality_stage),
     ("exact dedup", exact_stage),
+    ("near dedup", near_stage),
     ("mixing", mix_stage),
+    ("packing", pack_stage),
 ]
 
 #: Learning, signatures and tokenisation have no SQL form; tests compare the stages with brute force.
