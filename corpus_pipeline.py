@@ -13,15 +13,26 @@ from clickstrata.llm.common import stored, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _bundled(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with its other columns in one, so that no name of theirs meets one of an operator's."""
+    return docs.select(*used, F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in used]).alias("others__"))
+
+
+def _opened(bundled: DataFrame, columns: list[str]) -> DataFrame:
+    return bundled.select(*[F.col(f"`{c}`") if c in bundled.columns else F.col(f"others__.`{c}`") for c in columns])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones, scores at 0.5 or more stay."""
     machine = factorisation.fit(docs, table(spark, sf_dir, "labels"))
-    return factorisation.classified(docs, machine).filter("predicted = 1").select(*docs.columns)
+    rows = _bundled(docs, "doc_id", "text", "n_chars")
+    return _opened(factorisation.classified(rows, machine).filter("predicted = 1").select(*rows.columns), docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    return exact_dedup.exact_duplicates(docs).filter("kept").select(*docs.columns)
+    rows = _bundled(docs, "doc_id", "text")
+    return _opened(exact_dedup.exact_duplicates(rows).filter("kept").select(*rows.columns), docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +43,9 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix of sources takes."""
-    out = mixing.mixed(docs, mixing.mix_plan(docs)).filter("copies > 0")
-    return out.withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    rows = _bundled(docs, "doc_id", "source", "text")
+    out = mixing.mixed(rows, mixing.mix_plan(docs)).filter("copies > 0")
+    return _opened(out.withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*rows.columns), docs.columns)
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
