@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import mode_of
 from ..functions.identity import canonical_device_id, device_id_type
 from ..operators import features as V
 from ..operators.dims import left_join_blocks
@@ -51,7 +50,7 @@ def _(t: Tables):
 
 @query("most_frequent_value_aggregate", f"WITH {DEVICE_CTE}, {mode_cte('m1', 'dv', 'user_id', 'producer', 'producer')} SELECT u.user_id, coalesce(producer, '') AS producer FROM (SELECT DISTINCT user_id FROM dv) u LEFT JOIN m1 ON u.user_id = m1.user_id")
 def _(t: Tables):
-    return device_log(t).groupBy("user_id").agg(mode_of("producer").alias("producer"))
+    return V.modes(device_log(t), ["user_id"], ["producer"])
 
 
 def timing_sql(src: str, keys: str, start: str) -> str:

@@ -252,11 +252,11 @@ def _(t: Tables):
 @query("slot_hour_publish", f"""WITH {SLOT_CTE}, {SLOT_MERGED}
 SELECT app_id AS media_id, dsp_id AS channel_id, adsolt_id AS adslocation_id, CAST(g.r_regionkey + 10 AS BIGINT) AS dev_id, n.n_name AS joint_id, coalesce(CAST(g2.r_regionkey + 20 AS VARCHAR), '-1') AS am_id,
   CAST(coalesce(n.n_regionkey, 0) AS BIGINT) AS deduct, {', '.join(chr(34) + m + chr(34) for m in SLOT_COUNTS)}, {r('rjcost')} AS rjcost
-FROM sm LEFT JOIN region g ON app_id = CAST(g.r_regionkey AS VARCHAR) LEFT JOIN nation n ON adsolt_id = CAST(9998 + n.n_nationkey * 2 AS VARCHAR) LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 2) g2 ON app_id = CAST(g2.r_regionkey AS VARCHAR)""")
+FROM sm LEFT JOIN region g ON app_id = CAST(g.r_regionkey AS VARCHAR) LEFT JOIN nation n ON adsolt_id = CAST(9998 + n.n_nationkey * 2 AS VARCHAR) LEFT JOIN (SELECT * FROM region WHERE r_regionkey % 3 <> 2) g2 ON app_id = CAST(g2.r_regionkey AS VARCHAR)""")
 def _(t: Tables):
     media = t.region.select(F.col("r_regionkey").cast("string").alias("id"), (F.col("r_regionkey") + 10).alias("user_id"))
     slots = t.nation.select((F.col("n_nationkey") * 2 + 9998).cast("string").alias("id"), F.col("n_name").alias("joint_id"), F.col("n_regionkey").alias("deduct"))
-    managers = t.region.where("r_regionkey < 2").select(F.col("r_regionkey").cast("string").alias("id"), (F.col("r_regionkey") + 20).cast("string").alias("user_id"))
+    managers = t.region.where("r_regionkey % 3 <> 2").select(F.col("r_regionkey").cast("string").alias("id"), (F.col("r_regionkey") + 20).cast("string").alias("user_id"))
     return S.slot_hour_publish(S.slot_hour_funnel(slot_logs(t)), media, slots, managers)
 
 
@@ -335,12 +335,12 @@ def _(t: Tables):
 
 @query("plan_publish", f"""WITH {PLANS_CTE}, {PLAN_SQL} SELECT pf.* REPLACE ({r('bid_real_cost')} AS bid_real_cost, {r('imp_real_cost')} AS imp_real_cost), g.r_name AS admaster_id, coalesce('grp' || n.n_nationkey, '-1') AS creative_group_id,
  s.s_name AS dev_id, CAST(s.s_nationkey AS BIGINT) AS media_id, s.s_name AS joint_id, coalesce(g.r_name, '-1') AS agent_id, n2.n_name AS geo_name
-FROM pf LEFT JOIN region g ON plan_id = CAST(g.r_regionkey AS VARCHAR) LEFT JOIN nation n ON pf.creative_id = 'cr' || n.n_nationkey AND n.n_nationkey < 4 LEFT JOIN supplier s ON adslot_id = CAST(s.s_suppkey AS VARCHAR) LEFT JOIN nation n2 ON geo = 'g' || n2.n_nationkey AND n2.n_nationkey <> 2""")
+FROM pf LEFT JOIN region g ON plan_id = CAST(g.r_regionkey AS VARCHAR) LEFT JOIN nation n ON pf.creative_id = 'cr' || n.n_nationkey AND n.n_nationkey % 5 <> 4 LEFT JOIN supplier s ON adslot_id = CAST(s.s_suppkey AS VARCHAR) LEFT JOIN nation n2 ON geo = 'g' || n2.n_nationkey AND n2.n_nationkey <> 2""")
 def _(t: Tables):
     key = F.col("r_regionkey").cast("string").alias("id")
     return P.plan_publish(
         P.split_plan_funnel(plan_logs(t)), t.region.select(key, F.col("r_name").alias("aduser_id")),
-        t.nation.where("n_nationkey < 4").select(F.concat(F.lit("cr"), "n_nationkey").alias("id"), F.concat(F.lit("grp"), "n_nationkey").alias("creative_group_id")),
+        t.nation.where("n_nationkey % 5 <> 4").select(F.concat(F.lit("cr"), "n_nationkey").alias("id"), F.concat(F.lit("grp"), "n_nationkey").alias("creative_group_id")),
         t.supplier.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("user_id"), F.col("s_nationkey").alias("media_id"), F.col("s_name").alias("joint_id")),
         t.region.select(key, F.col("r_name").alias("user_oem_id")),
         t.nation.where("n_nationkey <> 2").select(F.concat(F.lit("g"), "n_nationkey").alias("id"), F.col("n_name").alias("name")),

@@ -135,15 +135,15 @@ def access_log(t: Tables):
 
 
 def access_dims(t: Tables):
-    tags = t.nation.where("n_nationkey < 9").select(F.col("n_nationkey").alias("tags_map_id"), F.concat(F.lit("md"), "n_nationkey").alias("tags_md5"), F.col("n_regionkey").alias("link_id"),
+    tags = t.nation.where("n_nationkey % 3 <> 2").select(F.col("n_nationkey").alias("tags_map_id"), F.concat(F.lit("md"), "n_nationkey").alias("tags_md5"), F.col("n_regionkey").alias("link_id"),
                                                     (F.col("n_nationkey") + 50).alias("user_id"), (F.col("n_nationkey") + 70).alias("station_id"))
-    urls = t.region.where("r_regionkey < 4").select((F.col("r_regionkey") + 30).alias("id"), F.concat(F.lit("d"), "r_regionkey", F.lit(".com")).alias("url"))
+    urls = t.region.where("r_regionkey % 5 <> 4").select((F.col("r_regionkey") + 30).alias("id"), F.concat(F.lit("d"), "r_regionkey", F.lit(".com")).alias("url"))
     channels = t.region.select((F.col("r_regionkey") + 90).alias("id"), F.col("r_regionkey").cast("string").alias("channel_id"))
     return tags, urls, channels
 
 
-ACCESS_DIMS = """tg AS (SELECT n_nationkey AS tags_map_id, 'md' || n_nationkey AS tags_md5, CAST(n_regionkey AS BIGINT) AS link_id, CAST(n_nationkey + 50 AS BIGINT) AS user_id, CAST(n_nationkey + 70 AS BIGINT) AS station_id FROM nation WHERE n_nationkey < 9),
-ur AS (SELECT CAST(r_regionkey + 30 AS VARCHAR) AS id, 'd' || r_regionkey || '.com' AS url FROM region WHERE r_regionkey < 4), ch AS (SELECT CAST(r_regionkey + 90 AS VARCHAR) AS id, CAST(r_regionkey AS VARCHAR) AS channel_id FROM region)"""
+ACCESS_DIMS = """tg AS (SELECT n_nationkey AS tags_map_id, 'md' || n_nationkey AS tags_md5, CAST(n_regionkey AS BIGINT) AS link_id, CAST(n_nationkey + 50 AS BIGINT) AS user_id, CAST(n_nationkey + 70 AS BIGINT) AS station_id FROM nation WHERE n_nationkey % 3 <> 2),
+ur AS (SELECT CAST(r_regionkey + 30 AS VARCHAR) AS id, 'd' || r_regionkey || '.com' AS url FROM region WHERE r_regionkey % 5 <> 4), ch AS (SELECT CAST(r_regionkey + 90 AS VARCHAR) AS id, CAST(r_regionkey AS VARCHAR) AS channel_id FROM region)"""
 ACT_COUNTS = "count(*) FILTER (WHERE act = 'call') AS impression, count(*) FILTER (WHERE act = 'resp') AS resp, count(*) FILTER (WHERE act = 'clk') AS clicks"
 
 

@@ -103,7 +103,7 @@ SUPPORT = 0.01
 def brand_baskets(t: Tables):
     """Distinct brands per order, an order having a handful of lines."""
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o"), F.col("p_brand").alias("i"))
-    return K.cookie_items(rows, "o", "i", lo=1, as_text=False)
+    return K.cookie_items(rows, "o", "i", lo=1, hi=None, as_text=False)
 
 
 @query("frequent_item_sets", f"""WITH {BRANDS_CTE}, s AS (SELECT i AS items, count(*) AS freq FROM b GROUP BY i

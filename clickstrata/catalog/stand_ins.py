@@ -103,19 +103,19 @@ def exchange_dims(t: Tables) -> dict[str, DataFrame]:
     """Dimensions with gaps, so that misses occur: packages from ``part``, countries from ``nation``, media from ``supplier``."""
     small = t.region.select(F.col("r_regionkey").cast("string").alias("jsonkey"), (F.col("r_regionkey") + 100).cast("string").alias("id"))
     return {
-        "pkg": t.part.where(F.col("p_partkey") < 25).select(F.concat(F.lit("pkg"), F.col("p_partkey").cast("string")).alias("name"), (F.col("p_partkey") + 500).cast("string").alias("id")),
+        "pkg": t.part.where(F.col("p_partkey") % 5 != 0).select(F.concat(F.lit("pkg"), F.col("p_partkey").cast("string")).alias("name"), (F.col("p_partkey") + 500).cast("string").alias("id")),
         "country": t.nation.where(F.col("n_nationkey") != 3).select(F.col("n_name").alias("jsonkey"), F.col("n_nationkey").cast("string").alias("id")),
         "platform": small,
         "style": small.where(F.col("jsonkey") != "2"),
-        "media": t.supplier.where(F.col("s_suppkey") < 10).select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_nationkey").cast("string").alias("mlevel_id")),
+        "media": t.supplier.where(F.col("s_suppkey") % 11 != 10).select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_nationkey").cast("string").alias("mlevel_id")),
     }
 
 
-EXCHANGE_DIMS_CTE = """d_pkg AS (SELECT 'pkg' || p_partkey AS name, CAST(p_partkey + 500 AS VARCHAR) AS id FROM part WHERE p_partkey < 25),
+EXCHANGE_DIMS_CTE = """d_pkg AS (SELECT 'pkg' || p_partkey AS name, CAST(p_partkey + 500 AS VARCHAR) AS id FROM part WHERE p_partkey % 5 <> 0),
 d_country AS (SELECT n_name AS jsonkey, CAST(n_nationkey AS VARCHAR) AS id FROM nation WHERE n_nationkey <> 3),
 d_platform AS (SELECT CAST(r_regionkey AS VARCHAR) AS jsonkey, CAST(r_regionkey + 100 AS VARCHAR) AS id FROM region),
 d_style AS (SELECT * FROM d_platform WHERE jsonkey <> '2'),
-d_media AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, CAST(s_nationkey AS VARCHAR) AS mlevel_id FROM supplier WHERE s_suppkey < 10)"""
+d_media AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, CAST(s_nationkey AS VARCHAR) AS mlevel_id FROM supplier WHERE s_suppkey % 11 <> 10)"""
 
 
 def device_log(t: Tables) -> DataFrame:

@@ -23,11 +23,11 @@ def _(t: Tables):
     return t.spark.read.parquet(path)
 
 
-@query("write_dynamic_append", f"WITH {EVENTS_CTE} SELECT event_type, event_id FROM ev WHERE event_type IN ('view', 'click')")
+@query("write_dynamic_append", f"WITH {EVENTS_CTE} SELECT event_type, event_id FROM ev")
 def _(t: Tables):
     path = scratch_path(t.spark, "dynamic")
     e = events(t).select("event_type", "event_id")
-    for kind in ("view", "click"):
+    for kind in ("view", "click", "purchase", "signup", "error"):
         W.write_dynamic(e.where(F.col("event_type") == kind), path, ["event_type"])
     return t.spark.read.parquet(path)
 
@@ -56,8 +56,8 @@ def _(t: Tables):
 
 @query("load_dimension_views", "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
 def _(t: Tables):
-    tables = load_dimensions(t.spark, {n: f"{t.path}/{n}.parquet" for n in ("nation", "region")}, views=False)
-    return tables["nation"].join(tables["region"], F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+    load_dimensions(t.spark, {f"dim_{n}": f"{t.path}/{n}.parquet" for n in ("nation", "region")})
+    return t.spark.sql("SELECT n_name, r_name FROM dim_nation JOIN dim_region ON n_regionkey = r_regionkey")
 
 
 @query("upsert_add_and_replace", f"""WITH {EVENTS_CTE} SELECT user_id, count(*) AS n, {r("coalesce(max(value) FILTER (WHERE day > '2024-01-15'), max(value))")} AS last_max FROM ev GROUP BY user_id""")

@@ -39,14 +39,3 @@ def latest_value(value: Column | str, time: Column | str, where: Column | None =
     """``value`` of the row with the greatest ``time``; equal times fall back to the greatest value, so reruns agree."""
     pair = F.struct(as_col(time).alias("t"), as_col(value).alias("v"))
     return F.max(F.when(where, pair) if where is not None else pair).getField("v")
-
-
-def mode_of(c: Column | str) -> Column:
-    """Most frequent non-blank text, smallest on a tie, '' when there is none.
-
-    Keeps one counter per distinct value of the group, so use it for attributes
-    with a small value domain; :func:`clickstrata.operators.features.modes`
-    does the same with plain aggregations for open-ended ones.
-    """
-    c = as_col(c).cast("string")
-    return F.coalesce(F.mode(F.when(c != "", c), True), F.lit(""))

@@ -35,10 +35,23 @@ def query_param(query: Column | str, name: str) -> Column:
     below the projection without evaluating the text again and again.
     """
     pair = f"&{re.escape(name)}=(?=[^&=]*(?:&|$))"
-    after = F.slice(F.split(F.concat(F.lit("&"), as_col(query)), pair, -1), 2, 1_000_000)
+    after = F.filter(F.split(F.concat(F.lit("&"), as_col(query)), pair, -1), lambda _, i: i > 0)
     return F.substring_index(F.try_element_at(after, F.lit(-1)), "&", 1)
 
 
+def query_pairs(query: Column | str) -> Column:
+    """``k=v&k=v`` text → array of [name, value], parts that are not exactly one pair dropped.
+
+    Several parameters of one text are best taken from this array, kept as a column of its own.
+    """
+    return F.filter(F.transform(F.split(as_col(query), "&", -1), lambda p: F.split(p, "=", -1)), lambda p: F.size(p) == 2)
+
+
+def pair_value(pairs: Column | str, name: str) -> Column:
+    """Last value of a parameter in :func:`query_pairs`; null when absent."""
+    return F.try_element_at(F.filter(as_col(pairs), lambda p: p[0] == name), F.lit(-1))[1]
+
+
 def query_text(request: Column | str) -> Column:
     """The query string of an HTTP request line, '' without one."""
     return F.regexp_extract(as_col(request), r"\?(.*) ", 1)

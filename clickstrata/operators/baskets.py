@@ -9,22 +9,25 @@ from pyspark.sql import functions as F
 
 
 def cookie_items(
-    df: DataFrame, user: str, item: str, group: str | None = None, lo: int = 2, hi: int = 200, as_text: bool = True
+    df: DataFrame, user: str, item: str, group: str | None = None, lo: int = 2, hi: int | None = 200, as_text: bool = True
 ) -> DataFrame:
     """Distinct items of every visitor who has ``lo``..``hi`` of them, overall or within each non-blank ``group``.
 
     Visitors above ``hi`` are left out by definition, so each is followed only
     up to ``hi + 1`` distinct items: that many prove the excess and bound every
-    list, however many rows a visitor has.
+    list, however many rows a visitor has.  ``hi=None`` sets no upper limit: every visitor is
+    listed in full.
     """
     keys = [user] if group is None else [group, user]
     if group is not None:
         df = df.where(F.col(group).isNotNull() & (F.col(group).cast("string") != ""))
     pairs = df.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(*keys, item).distinct()
-    w = Window.partitionBy(*keys).orderBy(item)
-    followed = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= hi + 1)
-    lists = followed.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    kept = lists.where(F.size("items").between(lo, hi)).withColumn("n_items", F.size("items"))
+    if hi is not None:
+        w = Window.partitionBy(*keys).orderBy(item)
+        pairs = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= hi + 1)
+    lists = pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    n = F.size("items")
+    kept = lists.where(n >= lo if hi is None else n.between(lo, hi)).withColumn("n_items", n)
     return kept.withColumn("items", F.concat_ws(",", F.col("items").cast("array<string>"))) if as_text else kept
 
 

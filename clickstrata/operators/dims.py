@@ -1,7 +1,6 @@
 """Dimension look-ups, membership tests and the IP range join.
 
-Join strategy is Spark's: no side is force-broadcast unless its row count has
-been checked first (:func:`checked_broadcast`).
+Join strategy is Spark's: no side is force-broadcast.
 """
 
 from __future__ import annotations
@@ -16,16 +15,6 @@ from ..functions.cleaning import as_col, blank_to
 from ..functions.identity import ip_to_long
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else unhinted.
-
-    Runs one small job (it stops after ``max_rows + 1`` rows).  Meant for
-    sources without size statistics, such as JDBC; file-backed tables are sized
-    by the optimizer already.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 @dataclass(frozen=True)
 class DimSpec:
     """Look up ``values`` (``{output: dimension column}``) by ``fact_key = dim_key``.

@@ -253,7 +253,7 @@ def crowd_profile(
             F.struct(F.lit(kind).alias("device_type"), v.alias("device_value"))
             for kind, v in (("imei_md5", imei_md5), ("idfa_md5", idfa_md5), ("oaid", F.col(oaid)))
         ])
-        tag_col = F.substring(F.col(tag), 5, 1_000) if log == "conv" else F.lit(None).cast("string")
+        tag_col = F.substr(F.col(tag), F.lit(5)) if log == "conv" else F.lit(None).cast("string")
         flat = df.select(
             F.inline(ids), model.alias("model_type"), imei_plain.alias("imei"), idfa_plain.alias("idfa"),
             F.col(time).try_cast("bigint").alias("t"), tag_col.alias("tag"), F.lit(log).alias("log"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,28 +12,20 @@ from ..functions.cleaning import is_blank
 from .features import join_null_safe
 from .ranking import topn_per_group
 
-MAX_CALENDAR_DAYS = 20_000
-
-
-def calendar(df: DataFrame, day: str) -> list[str]:
-    """The days present, ascending (one job; refuses more than :data:`MAX_CALENDAR_DAYS`)."""
-    found = df.select(F.col(day).cast("string").alias("d")).where(F.col("d").isNotNull()).distinct()
-    rows = found.limit(MAX_CALENDAR_DAYS + 1).collect()
-    if len(rows) > MAX_CALENDAR_DAYS:
-        raise ValueError(f"column {day!r} has more than {MAX_CALENDAR_DAYS} distinct values; it is not a day column")
-    return sorted(r.d for r in rows)
-
 
 def retention_overlap(df: DataFrame, day: str, kind: str, id_: str, days: Sequence[str] | None = None) -> DataFrame:
-    """Ids seen on one (``days_seen`` = 1) or both (2) of each pair of neighbouring days.
+    """Ids seen on one (``days_seen`` = 1) or both (2) of each pair of neighbouring days of their kind.
 
-    ``rn`` is the position of the later day in the calendar; the last value,
-    one past the end, holds the final day alone.  ``days`` is the calendar; it
-    is read from the data when not given.
+    ``rn`` is the rank of the later day among the days of the kind; the last value,
+    one past the end, holds the final day alone.  ``days`` restricts the rows to those days.
+    Days are ranked in a table of one row per kind and day.
     """
-    days = list(days) if days is not None else calendar(df, day)
-    position = F.array_position(F.array(*[F.lit(d) for d in days]), F.col(day).cast("string"))
-    seen = df.select(F.col(kind), F.col(id_), position.alias("_p")).distinct()
+    rows = df.select(F.col(kind), F.col(id_), F.col(day).cast("string").alias("_d")).where(F.col("_d").isNotNull())
+    if days is not None:
+        rows = rows.where(F.col("_d").isin(list(days)))
+    rank = F.dense_rank().over(Window.partitionBy(kind).orderBy("_d"))
+    ranked = rows.select(kind, "_d").distinct().withColumn("_p", rank)
+    seen = join_null_safe(rows.distinct(), ranked, [kind, "_d"])
     pairs = seen.withColumn("rn", F.explode(F.array(F.col("_p"), F.col("_p") + 1)))
     per_id = pairs.groupBy(kind, id_, "rn").agg(F.count(F.lit(1)).alias("days_seen"))
     return per_id.groupBy(kind, "rn", "days_seen").agg(F.count(F.lit(1)).alias("ids"))
@@ -120,32 +113,36 @@ def score_histogram(df: DataFrame, score: str, buckets_per_unit: int = 10) -> Da
     )
 
 
-def exact_percentile(df: DataFrame, value: str, q: float, accuracy: int = 1_000_000) -> DataFrame:
+def exact_percentile(df: DataFrame, value: str, q: float, accuracy: int = 1_000_000, cells: int = 1024) -> DataFrame:
     """Exact interpolated percentile of a whole column without sorting it in one place.
 
-    A quantile sketch brackets the answer; values below the bracket are only
-    counted, and just those inside it (about ``4 / accuracy`` of the rows) are
-    counted per value and ranked.
+    Three passes: a quantile sketch brackets the answer; one aggregation counts the values below the
+    bracket and in each of ``cells`` equal parts of it; the parts that hold the two ranks asked for,
+    about ``4 / accuracy / cells`` of the rows, are counted per value and ranked.
+    The driver sees the bracket and the counts of its parts.
     """
     v = F.col(value).cast("double")
     rows = df.select(v.alias("v")).where(F.col("v").isNotNull())
     slack = 2.0 / accuracy
-    bounds = rows.agg(
-        F.percentile_approx("v", max(0.0, q - slack), accuracy).alias("lo"),
-        F.percentile_approx("v", min(1.0, q + slack), accuracy).alias("hi"),
-    )
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    side = rows.agg(F.count_if(F.col("v") < lo).alias("below"), F.count(F.lit(1)).alias("n"))
-    inside = rows.where(F.col("v").between(lo, hi)).groupBy("v").agg(F.count(F.lit(1)).alias("f"))
-    # One short frequency table, cumulated in value order.
-    cum = inside.withColumn("upto", F.sum("f").over(Window.orderBy("v")) + side.select("below").scalar())
-    pos = (side.select("n").scalar() - 1).cast("double") * q
-    below_rank, above_rank = F.floor(pos), F.ceil(pos)
-    return cum.agg(
-        F.min(F.when(F.col("upto") > below_rank, F.col("v"))).alias("_a"),
-        F.min(F.when(F.col("upto") > above_rank, F.col("v"))).alias("_b"),
-        F.max(pos - below_rank).alias("_w"),
-    ).select((F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_w")).alias("percentile"))
+    lo, hi = rows.agg(F.percentile_approx("v", max(0.0, q - slack), accuracy), F.percentile_approx("v", min(1.0, q + slack), accuracy)).first()
+    if lo is None:
+        return df.sparkSession.createDataFrame([(None,)], "percentile double")
+    width = (hi - lo) / cells
+    inner = F.least(F.floor((F.col("v") - lo) / width), F.lit(cells - 1)) if width > 0 else F.lit(0)
+    cell = F.when(F.col("v") < lo, -1).when(F.col("v") > hi, cells).otherwise(inner).cast("int")
+    counts = sorted((r["cell"], r["count"]) for r in rows.groupBy(cell.alias("cell")).count().collect())
+    position = (sum(n for _, n in counts) - 1) * q
+    ranks, upto, wanted, before = {int(position), math.ceil(position)}, 0, [], None
+    for c, n in counts:
+        if any(upto <= k < upto + n for k in ranks):
+            wanted.append(c)
+            before = upto if before is None else before
+        upto += n
+    inside = rows.where(cell.isin(wanted)).groupBy("v").agg(F.count(F.lit(1)).alias("f"))
+    # A short frequency table, cumulated in value order; the parts wanted are neighbours.
+    cum = inside.withColumn("upto", F.sum("f").over(Window.orderBy("v")) + before)
+    a, b = (F.min(F.when(F.col("upto") > k, F.col("v"))) for k in (int(position), math.ceil(position)))
+    return cum.agg(a.alias("_a"), b.alias("_b")).select((F.col("_a") + (F.col("_b") - F.col("_a")) * (position - int(position))).alias("percentile"))
 
 
 def grouped_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str) -> DataFrame:

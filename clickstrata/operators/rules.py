@@ -38,7 +38,7 @@ def unpivot_ids(
     """One row per id kind: ``{kind: column}`` → (kept columns, kind, value)."""
     wide = df.select(*keep, *[as_col(c).cast("string").alias(f"_u_{k}") for k, c in kinds.items()])
     long = wide.unpivot(list(keep), [f"_u_{k}" for k in kinds], kind_col, value_col)
-    return long.withColumn(kind_col, F.substring(F.col(kind_col), 4, 1_000))
+    return long.withColumn(kind_col, F.substr(F.col(kind_col), F.lit(4)))
 
 
 def device_kinds(ip: str = "ip", imei: str = "imei", idfa: str = "idfa", android_id: str = "android_id") -> dict[str, Column]:

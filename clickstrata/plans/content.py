@@ -82,10 +82,11 @@ def content_uv(api_req: DataFrame, visitor: Column, cities: DataFrame, channels:
     """Distinct feed visitors per media, gate, channel and province.
 
     The province is looked up before counting, so a visitor seen in two cities
-    of a province is one visitor and the result has one row per key.
+    of a province is one visitor and the result has one row per key.  Log lines are reduced to
+    distinct visits first; the look-up sees one row per visitor, media and city.
     """
     rows = api_req.select(blank_to("mediaID").alias("app_id"), blank_to("mediaGateID").alias("properties_id"),
-                          blank_to("channel", PINNED_CHANNEL).alias("channel"), blank_to("cityID").alias("city_id"), visitor.alias("_v"))
+                          blank_to("channel", PINNED_CHANNEL).alias("channel"), blank_to("cityID").alias("city_id"), visitor.alias("_v")).distinct()
     rows = lookup_dims(rows, [DimSpec(cities, "city_id", "id", {"province_id": "province_id"}, default="0")])
     keys = ["app_id", "properties_id", "channel", "province_id"]
     uv = daily_uv(rows, keys, F.col("_v"))

@@ -37,5 +37,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="clickstrata-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.requests import pairs_to_map, query_param, query_text
+from ..functions.requests import pair_value, pairs_to_map, query_pairs, query_param, query_text
 
 Layout = Mapping[str, tuple[int, str]]
 
@@ -62,8 +62,8 @@ def parse_marked_kv(
 def parse_request_query(df: DataFrame, params: Mapping[str, str], request: str = "request") -> DataFrame:
     """Adds one column per query parameter (``{parameter: output name}``) of a request line."""
     cols = [c for c in df.columns if c not in params.values()]
-    text = df.withColumn("_q", query_text(request))
-    return text.select(*cols, *[query_param("_q", k).alias(out) for k, out in params.items()])
+    pairs = df.withColumn("_q", query_pairs(query_text(request)))
+    return pairs.select(*cols, *[pair_value("_q", k).alias(out) for k, out in params.items()])
 
 
 def parse_access_line(df: DataFrame, value: str = "value") -> DataFrame:

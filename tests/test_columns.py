@@ -7,6 +7,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from clickstrata.operators.features import modes
 from clickstrata.functions import aggregates as A
 from clickstrata.functions import cleaning as C
 from clickstrata.functions import devices as D
@@ -118,8 +119,8 @@ def test_dims_coords_buckets(spark):
 
 def test_mode_ties_and_blanks(spark):
     names = ["lihua", "zhangsan", "lihua", "wangwu", "wangwu", ""]
-    assert spark.createDataFrame([(n,) for n in names], "v string").agg(A.mode_of("v").alias("m")).first().m == "lihua"
-    assert spark.createDataFrame([("",), (None,)], "v string").agg(A.mode_of("v").alias("m")).first().m == ""
+    assert modes(spark.createDataFrame([(n,) for n in names], "v string"), [], ["v"]).first().v == "lihua"
+    assert modes(spark.createDataFrame([("",), (None,)], "v string"), [], ["v"]).first().v == ""
 
 
 def test_ratio_and_rounding(spark):

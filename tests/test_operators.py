@@ -44,12 +44,6 @@ def test_keep_known_and_membership(spark, rows):
     assert rows(O.is_blacklisted(fact, dim.withColumnRenamed("name", "c"), ["c"])) == [("-1", False), ("a", True), ("x", False), (None, False)]
 
 
-def test_checked_broadcast(spark):
-    df = spark.range(10)
-    assert "BroadcastHashJoin" in spark.range(5).join(O.checked_broadcast(df, 10), "id")._jdf.queryExecution().sparkPlan().toString()
-    assert O.checked_broadcast(df, 9) is df
-
-
 def test_ip_ranges(spark, rows):
     ranges = spark.createDataFrame([(0, 255, "low"), (65536 * 3 - 5, 65536 * 5 + 2, "wide"), (4294967040, 4294967295, "top")], "ip_start bigint, ip_end bigint, place string")
     ips = spark.createDataFrame([("0.0.0.255",), ("0.0.1.0",), ("0.2.255.251",), ("0.4.9.9",), ("0.5.0.2",), ("0.5.0.3",), ("255.255.255.255",), ("bad",), (None,), ("0.4.9.9",)], "ip string")
@@ -195,12 +189,8 @@ def test_suspicious_ip_masks(spark, rows):
 def test_retention(spark, rows):
     df = spark.createDataFrame([("d1", "t", "a"), ("d2", "t", "a"), ("d2", "t", "b"), ("d2", "t", "b")], "day string, kind string, id string")
     assert rows(Y.retention_overlap(df, "day", "kind", "id")) == [("t", 1, 1, 1), ("t", 2, 1, 1), ("t", 2, 2, 1), ("t", 3, 1, 2)]
-    with pytest.raises(ValueError):
-        old, Y.MAX_CALENDAR_DAYS = Y.MAX_CALENDAR_DAYS, 1
-        try:
-            Y.retention_overlap(df, "day", "kind", "id")
-        finally:
-            Y.MAX_CALENDAR_DAYS = old
+    df = spark.createDataFrame([("d1", "t", "a"), ("d3", "t", "a"), ("d1", None, "a"), ("d2", None, "a"), ("d2", "u", "b")], "day string, kind string, id string")
+    assert rows(Y.retention_overlap(df, "day", "kind", "id")) == sorted([("t", 1, 1, 1), ("t", 2, 2, 1), ("t", 3, 1, 1), (None, 1, 1, 1), (None, 2, 2, 1), (None, 3, 1, 1), ("u", 1, 1, 1), ("u", 2, 1, 1)], key=repr)
 
 
 def test_bucket_with_sample_and_labels(spark):
@@ -228,6 +218,15 @@ def test_score_histogram_edges(spark, rows):
     assert rows(Y.score_histogram(df, "s"), "bucket", "cnt", "share_high") == [(0.2, 1, 0.5), (0.3, 1, 0.5), (0.5, 1, 0.5), (1.0, 1, 0.5)]
 
 
+def test_baskets_of_any_size_are_mined(spark):
+    rows = [("big", f"i{n:03d}") for n in range(250)] + [("small", "i000"), ("small", "i001")]
+    df = spark.createDataFrame(rows, "o string, i string")
+    baskets = K.cookie_items(df, "o", "i", lo=1, hi=None, as_text=False)
+    assert {r.o: r.n_items for r in baskets.collect()} == {"big": 250, "small": 2}
+    sets, _ = K.freq_itemsets(baskets, "items", 1.0)
+    assert {",".join(sorted(r["items"])): r.freq for r in sets.collect()} == {"i000": 2, "i001": 2, "i000,i001": 2}
+
+
 def test_frequent_items_three_baskets(spark):
     df = spark.createDataFrame([(["1", "2", "5"],), (["1", "2", "3", "5"],), (["1", "2"],)], "items array<string>")
     sets, _ = K.freq_itemsets(df, "items", 0.5, 0.6)
