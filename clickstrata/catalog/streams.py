@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sinks.snapshots import read_snapshot, upsert
 from ..streaming import enrich as E
 from ..streaming import orders as O
 from ..streaming import run as U
@@ -16,7 +15,7 @@ from .stand_ins import EVENTS_CTE, events
 
 def event_stream(t: Tables):
     """``events`` as a file stream with a zoned event time."""
-    stream = U.read_files(t.spark, t.path, t.events.schema, glob="events.parquet")
+    stream = U.read_files(t.spark, f"{t.path}/events.parquet", t.events.schema)
     return stream.select("event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"), F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
 
@@ -43,7 +42,15 @@ def _(t: Tables):
     out, checkpoint = stored(t, "pv")
     counts = W.tumbling_pv(event_stream(t), "ts", ["event_type"], delay="2 minutes 5 seconds")
     U.run_stream(counts, U.change_log_sink(out), checkpoint, "update")
-    return U.read_change_log(t.spark, out, ["window_start", "window_end", "event_type"]).select("window_start", "event_type", "pv")
+    return U.read_change_log(t.spark, out, ["window_start", "window_end", "event_type"], like=counts).select("window_start", "event_type", "pv")
+
+
+def pane_log(t: Tables, label: str, stream, keys: list[str], slide: str, delay: str):
+    """The stream's pane counts, run to the end and read back."""
+    out, checkpoint = stored(t, label)
+    panes = W.pane_counts(stream, "ts", keys, slide, delay)
+    U.run_stream(panes, U.change_log_sink(out), checkpoint, "update")
+    return U.read_change_log(t.spark, out, ["pane_start", *keys], like=panes)
 
 
 def slid(size_days: int, slide_days: int) -> str:
@@ -60,16 +67,10 @@ def _(t: Tables):
     return W.sliding_blacklist(errors, "ts", "user_id").select("window_start", "user_id", "n", "list_key")
 
 
-# The stream publishes a window once the watermark (newest event minus 5 seconds) has passed its end.
-CLOSED = "AND e <= (SELECT max(ts) FROM ev WHERE {w}) - INTERVAL {d} SECOND"
-
-
-@query("sliding_blacklist_stream", BLACK_SQL.format(cond=CLOSED.format(w="event_type = 'error'", d=15)))
+@query("sliding_blacklist_stream", BLACK_SQL.format(cond=""))
 def _(t: Tables):
-    out, checkpoint = stored(t, "blacklist")
-    errors = event_stream(t).where("event_type = 'error'")
-    U.run_stream(W.sliding_blacklist(errors, "ts", "user_id", delay="15 seconds"), U.change_log_sink(out), checkpoint)
-    return t.spark.read.parquet(out).select("window_start", "user_id", "n", "list_key")
+    panes = pane_log(t, "blacklist", event_stream(t).where("event_type = 'error'"), ["user_id"], "1 day", "15 seconds")
+    return W.blacklisted(W.slide_panes(panes, ["user_id"], "7 days", "1 day"), "user_id").select("window_start", "user_id", "n", "list_key")
 
 
 def topn_sql(cond: str) -> str:
@@ -83,12 +84,10 @@ def _(t: Tables):
     return W.sliding_topn(static_events(t), "ts", "k", "2 hours", "1 hour", 10).select("window_start", "k", "n", "rn")
 
 
-@query("sliding_top_items_stream", topn_sql(CLOSED.format(w="true", d=2)))
+@query("sliding_top_items_stream", topn_sql(""))
 def _(t: Tables):
-    out, checkpoint = stored(t, "topn")
-    counts = W.sliding_counts(event_stream(t), "ts", ["k"], "2 hours", "1 hour", delay="2 seconds")
-    U.run_stream(counts, U.change_log_sink(out, lambda batch: W.rank_windows(batch, "k", 10)), checkpoint)
-    return t.spark.read.parquet(out).select("window_start", "k", "n", "rn")
+    panes = pane_log(t, "topn", event_stream(t), ["k"], "1 hour", "2 seconds")
+    return W.rank_windows(W.slide_panes(panes, ["k"], "2 hours", "1 hour"), "k", 10).select("window_start", "k", "n", "rn")
 
 
 def trending_sql(cond: str, per_channel: bool) -> str:
@@ -104,16 +103,11 @@ def _(t: Tables):
     return W.trending(counts, "event_type", "k", 5, 20)[0].select("window_start", "event_type", "k", "n", "rn")
 
 
-@query("trending_overall_stream", trending_sql(CLOSED.format(w="true", d=2), False))
+@query("trending_overall_stream", trending_sql("", False))
 def _(t: Tables):
-    out, checkpoint = stored(t, "trending")
-    counts = W.trending_counts(event_stream(t), "ts", "event_type", "k", "120 minutes", "60 minutes", delay="2 seconds")
-    sinks = U.fan_out(
-        U.change_log_sink(f"{out}/channel", lambda b: W.trending(b, "event_type", "k", 5, 20)[0]),
-        U.change_log_sink(f"{out}/all", lambda b: W.trending(b, "event_type", "k", 5, 20)[1]),
-    )
-    U.run_stream(counts, sinks, checkpoint)
-    return t.spark.read.parquet(f"{out}/all").select("window_start", "k", "n", "rn")
+    panes = pane_log(t, "trending", event_stream(t), ["event_type", "k"], "60 minutes", "2 seconds")
+    counts = W.slide_panes(panes, ["event_type", "k"], "120 minutes", "60 minutes")
+    return W.trending(counts, "event_type", "k", 5, 20)[1].select("window_start", "k", "n", "rn")
 
 
 COUNTERS_SQL = f"""WITH {EVENTS_CTE} SELECT day, user_id, {', '.join(f"count(*) FILTER (WHERE k % 4 = {c}) AS {n}" for n, c in W.DELIVERY_EVENTS.items())} FROM ev GROUP BY ALL"""
@@ -133,7 +127,7 @@ def _(t: Tables):
     out, checkpoint = stored(t, "counters")
     sink = U.change_log_sink(out, lambda batch: W.event_counters(batch, ["day", "user_id"]))
     U.run_stream(delivery(event_stream(t)), sink, checkpoint)
-    return U.read_change_log(t.spark, out, ["day", "user_id"], default="add")
+    return U.read_change_log(t.spark, out, ["day", "user_id"], default="add", like=W.event_counters(delivery(static_events(t)), ["day", "user_id"]))
 
 
 WORDS_SQL = "SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split_regex(trim(text, E' \\t\\n\\r'), '[ \\t\\n\\r\\f\\v]+')) AS word FROM conversations) WHERE word <> '' GROUP BY word"
@@ -142,10 +136,10 @@ WORDS_SQL = "SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split_regex
 @query("running_word_count_stream", WORDS_SQL)
 def _(t: Tables):
     out, checkpoint = stored(t, "words")
-    lines = U.read_files(t.spark, t.path, t.conversations.schema, glob="conversations.parquet")
+    lines = U.read_files(t.spark, f"{t.path}/conversations.parquet", t.conversations.schema)
     counts = W.running_count(W.words(lines, "text"), ["word"])
-    U.run_stream(counts, lambda batch, n: upsert(t.spark, out, batch, ["word"], n), checkpoint, "update")
-    return read_snapshot(t.spark, out)
+    U.run_stream(counts, U.change_log_sink(out), checkpoint, "update")
+    return U.read_change_log(t.spark, out, ["word"], like=counts)
 
 
 @query("batch_word_count", WORDS_SQL)
@@ -158,45 +152,43 @@ def _(t: Tables):
     out, checkpoint = stored(t, "join")
     views = event_stream(t).where("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), "ts")
     clicks = event_stream(t).where("event_type = 'click'").select("user_id", F.col("event_id").alias("click_id"), "ts")
-    U.run_stream(W.join_streams(views, clicks, "user_id", "ts", "ts", "30 minutes"), U.change_log_sink(out), checkpoint)
-    return t.spark.read.parquet(out).select("view_id", "click_id")
+    joined = W.join_streams(views, clicks, "user_id", "ts", "ts", "30 minutes")
+    U.run_stream(joined, U.change_log_sink(out), checkpoint)
+    return U.open_change_log(t.spark, out, joined).select("view_id", "click_id")
 
 
-# Purchases wait for the click with the same id; every click id occurs once.
-WAIT_CTE = EVENTS_CTE + """, od AS (SELECT event_id AS order_id, 'c' || event_id AS click_id, ts, CASE WHEN k % 10 = 0 THEN 'own' END AS plan_id FROM ev WHERE event_type = 'purchase'),
-cl AS (SELECT 'c' || (event_id - 1) AS click_id, ts, CASE WHEN k % 4 > 0 THEN 'p' || k END AS plan_id, CASE WHEN k % 4 <> 1 THEN 'm' || k END AS creative_id FROM ev WHERE event_type = 'click')"""
-WAIT_SQL = f"""WITH {WAIT_CTE} SELECT order_id, CASE WHEN od.plan_id IS NOT NULL THEN od.plan_id ELSE cl.plan_id END AS plan_id, CASE WHEN od.plan_id IS NULL THEN cl.creative_id END AS creative_id FROM od
-LEFT JOIN cl ON od.plan_id IS NULL AND od.click_id = cl.click_id AND cl.ts BETWEEN od.ts - INTERVAL 20 MINUTE AND od.ts + INTERVAL 20 MINUTE {{cond}}"""
+# Purchases take a click of the same id, which several clicks share: the latest before them, else the first after.
+WAIT_CTE = EVENTS_CTE + """, od AS (SELECT event_id AS order_id, 'c' || (event_id // 6) AS click_id, ts, CASE WHEN k % 10 = 0 THEN 'own' END AS plan_id FROM ev WHERE event_type = 'purchase'),
+cl AS (SELECT 'c' || (event_id // 6) AS click_id, ts, CASE WHEN k % 4 > 0 THEN 'p' || k END AS plan_id, CASE WHEN k % 4 <> 1 THEN 'm' || k END AS creative_id FROM ev WHERE event_type = 'click')"""
+WAIT_SQL = f"""WITH {WAIT_CTE}, pr AS (SELECT order_id, coalesce(od.plan_id, cl.plan_id) AS plan_id, cl.creative_id, row_number() OVER (PARTITION BY order_id ORDER BY cl.ts > od.ts, abs(epoch(cl.ts) - epoch(od.ts)), cl.plan_id NULLS FIRST, cl.creative_id NULLS FIRST) AS rn
+FROM od LEFT JOIN cl ON od.plan_id IS NULL AND od.click_id = cl.click_id AND (cl.plan_id IS NOT NULL OR cl.creative_id IS NOT NULL) AND cl.ts BETWEEN od.ts - INTERVAL 20 MINUTE AND od.ts + INTERVAL 20 MINUTE)
+SELECT order_id, plan_id, creative_id FROM pr WHERE rn = 1"""
 
 
 def orders_and_clicks(df):
-    k = F.col("k")
+    k, shared = F.col("k"), F.concat(F.lit("c"), F.floor(F.col("event_id") / 6))
     orders = df.where("event_type = 'purchase'").select(
-        F.col("event_id").alias("order_id"), F.concat(F.lit("c"), "event_id").alias("click_id"), "ts", F.when(k % 10 == 0, "own").alias("plan_id"), F.lit(None).cast("string").alias("creative_id")
+        F.col("event_id").alias("order_id"), shared.alias("click_id"), "ts", F.when(k % 10 == 0, "own").alias("plan_id"), F.lit(None).cast("string").alias("creative_id")
     )
     clicks = df.where("event_type = 'click'").select(
-        F.concat(F.lit("c"), F.col("event_id") - 1).alias("click_id"), "ts", F.when(k % 4 > 0, F.concat(F.lit("p"), k)).alias("plan_id"), F.when(k % 4 != 1, F.concat(F.lit("m"), k)).alias("creative_id")
+        shared.alias("click_id"), "ts", F.when(k % 4 > 0, F.concat(F.lit("p"), k)).alias("plan_id"), F.when(k % 4 != 1, F.concat(F.lit("m"), k)).alias("creative_id")
     )
     return orders, clicks
 
 
-@query("click_order_enrich", WAIT_SQL.format(cond=""))
+@query("click_order_enrich", WAIT_SQL)
 def _(t: Tables):
     return E.enrich_orders(*orders_and_clicks(static_events(t))).select("order_id", "plan_id", "creative_id")
 
 
-# Unmatched orders are out once the watermark has passed their time limit; clicks wait one timeout for repeats.
-EXPIRED = """WHERE od.plan_id IS NOT NULL OR cl.click_id IS NOT NULL
-  OR od.ts + INTERVAL 20 MINUTE < least((SELECT max(ts) FROM od WHERE plan_id IS NULL), (SELECT max(ts) FROM cl) - INTERVAL 20 MINUTE)"""
-
-
-@query("click_order_enrich_stream", WAIT_SQL.format(cond=EXPIRED))
+@query("click_order_enrich_stream", WAIT_SQL)
 def _(t: Tables):
     out, checkpoint = stored(t, "enrich")
     orders, _ = orders_and_clicks(event_stream(t))
     _, clicks = orders_and_clicks(event_stream(t))
-    U.run_stream(E.click_order_enrich(orders, clicks), U.change_log_sink(out), checkpoint)
-    return t.spark.read.parquet(out).select("order_id", "plan_id", "creative_id")
+    log = E.click_order_enrich(orders, clicks)
+    U.run_stream(log, U.change_log_sink(out), checkpoint)
+    return E.settled_orders(U.open_change_log(t.spark, out, log)).select("order_id", "plan_id", "creative_id")
 
 
 LINES_CTE = EVENTS_CTE + ", ol AS (SELECT event_id, sec, user_id, k, event_type FROM ev)"

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.cleaning import is_blank
@@ -25,7 +26,9 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "l
 
 
 def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", glob: str | None = None, max_files: int | None = None) -> DataFrame:
-    """New files of a folder as a stream."""
+    """New files of a folder as a stream; a path that is one file is a stream of that file."""
+    if is_file(spark, path):
+        path, _, glob = path.rpartition("/")
     reader = spark.readStream.format(fmt).schema(schema)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
@@ -39,6 +42,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def run_stream(
     df: DataFrame, sink: BatchSink, checkpoint: str, output_mode: str = "append", interval: str | None = None,
     stop_marker: str | None = None, poll_seconds: float = 5.0,
@@ -89,9 +98,18 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
     return write
 
 
-def read_change_log(spark: SparkSession, path: str, keys: Sequence[str], modes: Mapping[str, str] | None = None, default: str = "replace") -> DataFrame:
+def open_change_log(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
+    """All rows of a change log with their ``batch``; before the first batch an empty frame with the columns of ``like``."""
+    if like is not None and not path_exists(spark, path):
+        return spark.createDataFrame([], T.StructType([*like.schema.fields, T.StructField("batch", T.IntegerType())]))
+    return spark.read.parquet(path)
+
+
+def read_change_log(
+    spark: SparkSession, path: str, keys: Sequence[str], modes: Mapping[str, str] | None = None, default: str = "replace", like: DataFrame | None = None,
+) -> DataFrame:
     """Merged view of a change log: per key, ``replace`` (newest batch), ``keep_blank`` (newest non-blank), ``add`` or ``max`` per column."""
-    return merge_change_log(spark.read.parquet(path), keys, modes, default)
+    return merge_change_log(open_change_log(spark, path, like), keys, modes, default)
 
 
 def merge_change_log(log: DataFrame, keys: Sequence[str], modes: Mapping[str, str] | None = None, default: str = "replace") -> DataFrame:

@@ -36,6 +36,24 @@ def tumbling_pv(df: DataFrame, ts: str, keys: Sequence[str] = ("template_id", "c
     return counts.withColumn("hour", F.date_format("window_start", "yyyy-MM-dd HH"))
 
 
+def pane_counts(df: DataFrame, ts: str, keys: Sequence[str], slide: str, delay: str | None = None, out: str = "n") -> DataFrame:
+    """Rows per key and pane of one slide.
+
+    The streaming half of sliding windows: written in update mode to a replacing sink, the panes are complete
+    up to the newest row at any time, and :func:`slide_panes` on read gives every window, the open ones too.
+    """
+    if delay is not None:
+        df = df.withWatermark(ts, delay)
+    panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.count(F.lit(1)).alias(out))
+    return panes.select(F.col("pane.start").alias("pane_start"), *keys, out)
+
+
+def slide_panes(panes: DataFrame, keys: Sequence[str], size: str, slide: str, out: str = "n") -> DataFrame:
+    """Window totals from the counts of :func:`pane_counts`; ``size`` is a multiple of ``slide``."""
+    slid = panes.groupBy(F.window("pane_start", size, slide).alias("window"), *keys).agg(F.sum(out).alias(out))
+    return _flat(slid, keys, out)
+
+
 def sliding_counts(
     df: DataFrame, ts: str, keys: Sequence[str], size: str, slide: str, delay: str | None = None, out: str = "n"
 ) -> DataFrame:
@@ -58,7 +76,11 @@ def sliding_blacklist(
     delay: str | None = None, prefix: str = "bl:ip",
 ) -> DataFrame:
     """Keys seen at least ``threshold`` times in a window, with the list key to publish."""
-    counts = sliding_counts(df, ts, [key], size, slide, delay)
+    return blacklisted(sliding_counts(df, ts, [key], size, slide, delay), key, threshold, prefix)
+
+
+def blacklisted(counts: DataFrame, key: str, threshold: int = 4, prefix: str = "bl:ip") -> DataFrame:
+    """The window counts of at least ``threshold``, with the list key to publish."""
     return counts.where(F.col("n") >= threshold).withColumn("list_key", F.concat_ws(":", F.lit(prefix), F.col(key).cast("string")))
 
 
@@ -103,10 +125,19 @@ def words(df: DataFrame, value: str = "value", out: str = "word") -> DataFrame:
 
 
 def join_streams(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, within: str, delay: str = "0 seconds") -> DataFrame:
-    """Inner join on ``key`` of rows at most ``within`` apart; the bound lets Spark drop old state."""
+    """Inner join on ``key`` of rows at most ``within`` apart; the bound lets Spark drop old state.
+
+    Rows meet on the key and a time cell as long as the bound, the right side being repeated for the cells on
+    either side, so the rows of a busy key are dealt over its cells.
+    """
     l = left.withWatermark(left_ts, delay) if left.isStreaming else left
     r = right.withWatermark(right_ts, delay) if right.isStreaming else right
     r = r.withColumnsRenamed({key: f"_r_{key}", right_ts: f"_r_{right_ts}"})
     span = F.expr(f"interval {within}")
-    cond = (F.col(key) == F.col(f"_r_{key}")) & F.col(f"_r_{right_ts}").between(F.col(left_ts) - span, F.col(left_ts) + span)
-    return l.join(r, cond).drop(f"_r_{key}").withColumnRenamed(f"_r_{right_ts}", f"right_{right_ts}")
+    length = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {within})")
+    cell = lambda ts: F.floor(F.unix_micros(ts) / length)
+    l = l.withColumn("_cell", cell(F.col(left_ts)))
+    there = cell(F.col(f"_r_{right_ts}"))
+    r = r.withColumn("_r_cell", F.explode(F.array(there - 1, there, there + 1)))
+    cond = (F.col(key) == F.col(f"_r_{key}")) & (F.col("_cell") == F.col("_r_cell")) & F.col(f"_r_{right_ts}").between(F.col(left_ts) - span, F.col(left_ts) + span)
+    return l.join(r, cond).drop(f"_r_{key}", "_cell", "_r_cell").withColumnRenamed(f"_r_{right_ts}", f"right_{right_ts}")
