@@ -28,6 +28,11 @@ def div(a: str, b: str) -> str:
     return f"(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0))"
 
 
+def dec(expr: str, places: int) -> str:
+    """A decimal of ``places`` as :func:`tidy` shows it; exact halves of the shortest decimal form round up, as in Spark."""
+    return r(f"round(CAST({expr} AS DECIMAL(30, 12)), {places})")
+
+
 @query("bid_log_dedup", f"WITH {DEDUP_CTE} SELECT logtype, trace_id, request_id, adsolt_id, event_id, time FROM dd")
 def _(t: Tables):
     return deduped(t).select("logtype", "trace_id", "request_id", "adsolt_id", "event_id", "time")
@@ -54,20 +59,13 @@ def _(t: Tables):
 SELECT admaster_id, plan_id, creative_id, adsolt_type AS creative_type, {LATEST_PRICE.format(col='plan_price')} AS pp, {c11} AS n11, {c12} AS n12, {c13} AS n13, {c16} AS n16, {c14} AS n14,
   {s('14', 'win_price')} AS cost, {c15} AS n15, {c17} AS n17, {s('17', 'conversion_unit_price')} AS earn
 FROM dd WHERE logtype <> '10' GROUP BY ALL)
-SELECT admaster_id, plan_id, creative_id, creative_type, n11 AS bid_count, n12 AS inner_win_count, n13 AS outer_bid_succ_count, n16 AS outer_bid_fail_count,
-  n14 AS imp_count, n15 AS clk_count, n17 AS trans_count, round(pp, 2) AS plan_price, round(round({div('n12', 'n11')}, 4), 3) AS inner_bid_succ_rate, round(round({div('n13', 'n12')}, 4), 3) AS outer_bid_succ_rate,
-  round(round({div('n14', 'n13')}, 4), 3) AS imp_rate, round(round({div('n15', 'n14')}, 4), 3) AS clk_rate, round(round({div('n17', 'n15')}, 4), 3) AS trans_rate,
-  round(CAST(round(earn, 3) AS DOUBLE), 2) AS total_earning
+SELECT admaster_id, plan_id, creative_id, creative_type, {dec('pp', 3)} AS plan_price, n11 AS bid_count, n12 AS inner_win_count, {dec(div('n12', 'n11'), 4)} AS inner_bid_succ_rate,
+  n13 AS outer_bid_succ_count, {dec(div('n13', 'n12'), 4)} AS outer_bid_succ_rate, n16 AS outer_bid_fail_count, n14 AS imp_count, {dec(div('n14', 'n13'), 4)} AS imp_rate,
+  {dec(div('cost', 'n14'), 3)} AS avg_win_price, n15 AS clk_count, {dec(div('n15', 'n14'), 4)} AS clk_rate, n17 AS trans_count, {dec(div('n17', 'n15'), 4)} AS trans_rate,
+  {dec('cost / 1000', 3)} AS total_cost, {dec(div('cost / 1000', 'n17'), 3)} AS trans_cost, {dec('earn', 3)} AS total_earning, {dec('earn - cost / 1000', 3)} AS profit
 FROM g""")
 def _(t: Tables):
-    # Decimal amounts are compared at two places, rates at three; plan_daily_conversion checks the full doubles.
-    out = B.creative_hourly(deduped(t))
-    rates = ["inner_bid_succ_rate", "outer_bid_succ_rate", "imp_rate", "clk_rate", "trans_rate"]
-    return out.select(
-        "admaster_id", "plan_id", "creative_id", "creative_type", "bid_count", "inner_win_count", "outer_bid_succ_count", "outer_bid_fail_count",
-        "imp_count", "clk_count", "trans_count", *[F.round(F.col(c).cast("double"), 2).alias(c) for c in ("plan_price", "total_earning")],
-        *[F.round(F.col(c).cast("double"), 3).alias(c) for c in rates],
-    )
+    return B.creative_hourly(deduped(t))
 
 
 @query("channel_quality", f"""WITH {DEDUP_CTE}, g AS (

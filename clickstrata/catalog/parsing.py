@@ -125,9 +125,10 @@ def _(t: Tables):
     return device_log(t).select("event_id", plain.alias("plain"), hashed.alias("hashed"))
 
 
-@query("valid_device_values", f"WITH {DEVICE_CTE} SELECT event_id, CAST(CASE WHEN imei NOT IN ('', '000000000000000') THEN 1 ELSE 0 END AS BIGINT) AS imei_ok, CAST(CASE WHEN android_id <> 'unknown' THEN 1 ELSE 0 END AS BIGINT) AS android_ok, CAST(1 AS BIGINT) AS ip_ok FROM dv")
+@query("valid_device_values", f"WITH {DEVICE_CTE} SELECT event_id, CAST(CASE WHEN imei NOT IN ('', '000000000000000') THEN 1 ELSE 0 END AS BIGINT) AS imei_ok, CAST(CASE WHEN android_id <> 'unknown' THEN 1 ELSE 0 END AS BIGINT) AS android_ok, CAST(CASE WHEN k % 7 = 0 THEN 0 ELSE 1 END AS BIGINT) AS ip_ok FROM dv")
 def _(t: Tables):
-    return device_log(t).select(
+    broken = F.when(F.col("k") % 2 == 0, F.concat(F.lit("3"), F.lpad("ip", 15, "0"))).otherwise(F.concat("ip", F.lit(".1")))
+    return device_log(t).withColumn("ip", F.when(F.col("k") % 7 == 0, broken).otherwise(F.col("ip"))).select(
         "event_id", C.valid_device_value("imei").alias("imei_ok"), C.valid_device_value("android_id").alias("android_ok"), C.valid_ipv4("ip").alias("ip_ok")
     )
 
@@ -137,9 +138,18 @@ def _(t: Tables):
     return device_log(t).select("event_id", I.ip_prefix_hex("ip").alias("prefix"), I.ip_to_long("ip").alias("number"))
 
 
-@query("handset_brands", f"WITH {DEVICE_CTE} SELECT event_id, CASE k % 5 WHEN 0 THEN 'huawei' WHEN 1 THEN 'apple' WHEN 2 THEN 'redmi' ELSE 'other' END AS brand FROM dv")
+#: A handset of every brand, and one of none.
+HANDSETS = {
+    "huawei": "HUAWEI P30", "apple": "iPhone 11", "oppo": "OPPO R9", "vivo": "vivo X9", "honor": "HONOR 20", "xiaomi": "Xiaomi Mix", "meizu": "MEIZU", "samsung": "SAMSUNG S9", "redmi": "Redmi Note",
+    "oneplus": "OnePlus 7", "gionee": "GIONEE M7", "360": "360 N7", "meitu": "Meitu T8", "smartisan": "Smartisan U3", "nubia": "nubia Z20", "leeco": "LeEco Pro", "lenovo": "Lenovo Z6", "hisense": "Hisense A5",
+    "zte": "ZTE Axon", "nokia": "Nokia X7", "coolpad": "Coolpad 10", "realme": "realme X2", "motorola": "Motorola Z2", "koobee": "koobee K20", "sony": "Sony Xperia", "doov": "DOOV D900", "other": "GREE",
+}
+
+
+@query("handset_brands", f"WITH {EVENTS_CTE} SELECT event_id, ([{', '.join(repr(b) for b in HANDSETS)}])[event_id % {len(HANDSETS)} + 1] AS brand FROM ev")
 def _(t: Tables):
-    return device_log(t).select("event_id", D.brand_of("producer").alias("brand"))
+    names = F.array(*[F.lit(n) for n in HANDSETS.values()])
+    return events(t).select("event_id", D.brand_of(F.get(names, F.col("event_id") % len(HANDSETS))).alias("brand"))
 
 
 @query("browser_families", f"""WITH {EVENTS_CTE} SELECT event_id, CASE k % 4 WHEN 0 THEN 'Chrome' || (k + 1) WHEN 1 THEN 'Firefox' || (k + 1) WHEN 2 THEN 'MicroMessenger8' ELSE '' END AS browser FROM ev""")
