@@ -29,8 +29,8 @@ def div(a: str, b: str) -> str:
 
 
 def dec(expr: str, places: int) -> str:
-    """A decimal of ``places`` as :func:`tidy` shows it; exact halves of the shortest decimal form round up, as in Spark."""
-    return r(f"round(CAST({expr} AS DECIMAL(30, 12)), {places})")
+    """A decimal of ``places`` as :func:`tidy` shows it; halves are told from the nine-place value."""
+    return r(f"round(CAST({expr} AS DECIMAL(30, 9)), {places})")
 
 
 @query("bid_log_dedup", f"WITH {DEDUP_CTE} SELECT logtype, trace_id, request_id, adsolt_id, event_id, time FROM dd")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import latest_value, ratio, ratio_or_zero
+from ..functions.aggregates import latest_value, ratio, ratio_or_zero, round_places
 from ..operators.dims import DimSpec, lookup_dims
 from ..operators.funnel import Agg, event_pivot
 from ..operators.ranking import Selection, dedup_first, labelled_selections
@@ -106,7 +106,9 @@ def creative_hourly(df: DataFrame, codes: Mapping[str, str] = EVENTS) -> DataFra
         "total_earning": c("total_earning"),
         "profit": c("total_earning") - total_cost,
     }
-    base = base.withColumns({k: v.cast("decimal(18,4)") for k, v in rates.items()} | {k: v.cast("decimal(18,3)") for k, v in amounts.items()})
+    # Sums of doubles differ in their last bits from run to run; halves are told from the nine-place value.
+    exact = lambda v, places: round_places(v, places).cast(f"decimal(18,{places})")
+    base = base.withColumns({k: exact(v, 4) for k, v in rates.items()} | {k: exact(v, 3) for k, v in amounts.items()})
     return base.select(
         "admaster_id", "plan_id", "creative_id", "creative_type", "plan_price", "bid_count", "inner_win_count",
         "inner_bid_succ_rate", "outer_bid_succ_count", "outer_bid_succ_rate", "outer_bid_fail_count", "imp_count",
