@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import cleaning as C
+from ..functions import devices as D
 from ..functions.identity import canonical_device_id, device_id_type
 from ..operators import features as V
 from ..operators.dims import left_join_blocks
@@ -65,12 +67,13 @@ def _(t: Tables):
     return V.click_timing(events(t).where("event_type = 'click'"), ["user_id"], "sec", 1704067200, "clk_")
 
 
-def features_sql(req: str, imp: str, clk: str, keys: str, timing: bool, modes: list[str], apps: bool = False) -> str:
+def features_sql(req: str, imp: str, clk: str, keys: str, timing: bool, modes: list[str], apps: bool = False, maxima: list[str] = []) -> str:
     """CTE ``ft``: request block LEFT JOIN impression block LEFT JOIN click block."""
     blocks = []
     mode_ctes = [mode_cte(f"mo_{c}", "rq", keys, c, c) for c in modes]
     mode_joins = " ".join(f"LEFT JOIN mo_{c} ON {same('q0', 'mo_' + c, keys)}" for c in modes)
     mode_cols = "".join(f", coalesce(mo_{c}.{c}, '') AS {c}" for c in modes)
+    most = "".join(f", max({c}) AS {c}" for c in maxima)
     app = ", count(DISTINCT app_id) AS {p}_app_count" if apps else ""
     for p, src in (("imp", "ip"), ("clk", "ck")):
         price = f", avg(value) AS {p}_avg_real_price, max(value) AS {p}_max_real_price, min(value) AS {p}_min_real_price" if p == "imp" else ""
@@ -85,7 +88,7 @@ def features_sql(req: str, imp: str, clk: str, keys: str, timing: bool, modes: l
     eq = " AND ".join("{a}." + k + " = {b}." + k for k in keys.split(", "))
     tm_join = f"LEFT JOIN tm ON {eq.format(a='q1', b='tm')}" if timing else ""
     return f"""rq AS (SELECT * FROM {req}), ip AS (SELECT * FROM {imp}), ck AS (SELECT * FROM {clk}), {', '.join([*mode_ctes, *blocks, *tm])},
-q0 AS (SELECT {keys}, count(*) AS req_count, avg(value) AS req_avg_real_price, max(value) AS req_max_real_price, min(value) AS req_min_real_price{app.format(p='req')} FROM rq GROUP BY {keys}),
+q0 AS (SELECT {keys}, count(*) AS req_count, avg(value) AS req_avg_real_price, max(value) AS req_max_real_price, min(value) AS req_min_real_price{app.format(p='req')}{most} FROM rq GROUP BY {keys}),
 q1 AS (SELECT q0.*, req_count / sum(req_count) OVER (PARTITION BY q0.id) AS req_rate{mode_cols} FROM q0 {mode_joins}),
 ft AS (SELECT q1.*, impb.* EXCLUDE ({keys}), {clk_cols}{tm_cols} FROM q1 LEFT JOIN impb ON {eq.format(a='q1', b='impb')} LEFT JOIN clkb ON {eq.format(a='q1', b='clkb')} {tm_join})"""
 
@@ -100,8 +103,8 @@ def rounded(cols=RATES) -> str:
 KINDS = {"req": "event_type IN ('view', 'signup', 'error')", "imp": "event_type = 'purchase'", "clk": "event_type = 'click'"}
 
 
-def picked(where: str) -> list[str]:
-    return [f"(SELECT * FROM di WHERE {cond} AND {where})" for cond in KINDS.values()]
+def picked(where: str, src: str = "di") -> list[str]:
+    return [f"(SELECT * FROM {src} WHERE {cond} AND {where})" for cond in KINDS.values()]
 
 
 @query("behaviour_by_slot_day", f"WITH {IDS_CTE}, {features_sql(*picked(f'day = {chr(39)}{DAY}{chr(39)}'), 'app_id, id, adsolt_id', True, MODES)} SELECT {rounded()} FROM ft")
@@ -143,22 +146,49 @@ def _(t: Tables):
     return conversions(t)
 
 
-@query("behaviour_daily_table", f"""WITH {IDS_CTE}, {LINK_SQL}, a0 AS (SELECT app_id, id, adsolt_id, count(*) FILTER (WHERE {KINDS['req']}) AS req_count, nullif(count(id) FILTER (WHERE {KINDS['imp']}), 0) AS imp_cnt, nullif(count(id) FILTER (WHERE {KINDS['clk']}), 0) AS clk_cnt FROM di WHERE day = '{DAY}' GROUP BY ALL),
-b0 AS (SELECT id, count(*) FILTER (WHERE {KINDS['req']}) AS req_count_2, nullif(count(*) FILTER (WHERE {KINDS['imp']}), 0) AS imp_cnt_2, nullif(count(*) FILTER (WHERE {KINDS['clk']}), 0) AS clk_cnt_2 FROM di WHERE day = '{DAY}' GROUP BY id),
-c0 AS (SELECT app_id, id, adsolt_id, count(*) FILTER (WHERE {KINDS['req']}) AS req_count_3, nullif(count(*) FILTER (WHERE {KINDS['imp']}), 0) AS imp_cnt_3, nullif(count(*) FILTER (WHERE {KINDS['clk']}), 0) AS clk_cnt_3 FROM di WHERE {THREE_DAYS} GROUP BY ALL)
-SELECT a0.app_id, a0.id, a0.adsolt_id, req_count, imp_cnt, clk_cnt, CAST(CASE WHEN imp_cnt >= 1 THEN 1 ELSE 0 END AS BIGINT) AS if_imp, CAST(CASE WHEN clk_cnt >= 1 THEN 1 ELSE 0 END AS BIGINT) AS if_clk,
- req_count_2, imp_cnt_2, clk_cnt_2, req_count_3, imp_cnt_3, clk_cnt_3, lk.plan_id, lk.if_new_enter, lk.if_mau
-FROM a0 LEFT JOIN b0 ON a0.id = b0.id AND req_count_2 > 0 LEFT JOIN c0 ON a0.app_id = c0.app_id AND a0.id = c0.id AND a0.adsolt_id = c0.adsolt_id AND req_count_3 > 0 LEFT JOIN lk ON a0.app_id = lk.app_id AND a0.id = lk.id AND a0.adsolt_id = lk.adsolt_id
-WHERE req_count > 0""")
+#: Attributes of the daily table of which the greatest value is kept.
+MAXIMA = ["os", "imei", "idfa", "oaid", "android_id", "ip", "id_type", "brand", "browser", "longitude", "latitude"]
+
+
+def full_log(t: Tables):
+    """The device log with brand, browser and cut coordinates made from raw columns."""
+    u, k = F.col("user_id"), F.col("k")
+    agent = F.concat(F.lit("Mozilla/5.0 (X11) Chrome/"), k + 1, F.lit(".0 Safari/537.36"))
+    point = F.concat(u % 180, F.lit("."), k % 100)
+    return with_id(t).withColumns({
+        "brand": D.brand_of("producer"), "browser": D.ua_browser(agent), "longitude": C.truncate_coord(point), "latitude": C.floor_coord(F.concat(F.lit("-"), point)),
+    })
+
+
+DEVICE_TYPE_SQL = "CAST(CASE WHEN os = '1' THEN CASE WHEN imei IS NULL OR imei = '' OR imei = '000000000000000' THEN 3 ELSE 1 END ELSE 2 END AS BIGINT)"
+FULL_CTE = IDS_CTE + f""", dx AS (SELECT *, {DEVICE_TYPE_SQL} AS id_type, CASE k % 5 WHEN 0 THEN 'huawei' WHEN 1 THEN 'apple' WHEN 2 THEN 'redmi' ELSE 'other' END AS brand, 'Chrome' || (k + 1) AS browser,
+  CAST(user_id % 180 AS VARCHAR) AS longitude, CAST(floor(CAST('-' || (user_id % 180) || '.' || (k % 100) AS DOUBLE)) AS BIGINT) AS latitude FROM di)"""
+SHARED = ["req_count", *[c for c in RATES if c.startswith("req")], "imp_cnt", "imp_rate", "imp_creative_count", "imp_max_count_creative", "imp_avg_real_price", "imp_max_real_price", "imp_min_real_price", "clk_cnt", "clk_rate", "clk_creative_count", "clk_max_count_creative"]
+PER_ID = [*SHARED, "req_app_count", "imp_app_count", "clk_app_count", *[f"clk_{n}" for n in ("first_seconds", "last_seconds", "min_interval", "max_interval", "avg_interval")]]
+
+
+def renamed(alias: str, cols: list[str], suffix: str) -> str:
+    return ", ".join(f"{r(f'{alias}.{c}') if c in RATES else f'{alias}.{c}'} AS {c}{suffix}" for c in cols)
+
+
+ON_DAY = f"day = '{DAY}'"
+
+
+@query("behaviour_daily_table", f"""WITH {FULL_CTE}, {LINK_SQL},
+sl AS (WITH {features_sql(*picked(ON_DAY, 'dx'), 'app_id, id, adsolt_id', True, MODES, maxima=MAXIMA)} SELECT {rounded()} FROM ft),
+pi AS (WITH {features_sql(*picked(ON_DAY, 'dx'), 'id', True, [], apps=True)} SELECT * FROM ft),
+dd AS (WITH {features_sql(*picked(THREE_DAYS, 'dx'), 'app_id, id, adsolt_id', False, [])} SELECT * FROM ft)
+SELECT sl.*, CAST(CASE WHEN sl.imp_cnt >= 1 THEN 1 ELSE 0 END AS BIGINT) AS if_imp, CAST(CASE WHEN sl.clk_cnt >= 1 THEN 1 ELSE 0 END AS BIGINT) AS if_clk, {renamed('pi', PER_ID, '_2')}, {renamed('dd', SHARED, '_3')}, lk.* EXCLUDE (app_id, id, adsolt_id)
+FROM sl LEFT JOIN pi ON sl.id = pi.id LEFT JOIN dd ON sl.app_id = dd.app_id AND sl.id = dd.id AND sl.adsolt_id = dd.adsolt_id LEFT JOIN lk ON sl.app_id = lk.app_id AND sl.id = lk.id AND sl.adsolt_id = lk.adsolt_id""")
 def _(t: Tables):
-    log = with_id(t)
-    spec = V.BehaviourSpec(req_price="value", price="value", time="sec")
+    log = full_log(t)
+    roles = {"req_price": "value", "price": "value", "time": "sec"}
     day, days = read_partition(log, DAY, date_col="day"), read_date_range(log, DAY, 3, date_col="day")
-    table = V.behaviour_daily(
-        V.behaviour_features(*logs(day), KEYS, spec, DAY_START), V.behaviour_features(*logs(day), ["id"], spec, DAY_START),
-        V.behaviour_features(*logs(days), KEYS, V.BehaviourSpec(req_price="value", price="value", mode_cols=())), conversions(t), KEYS,
+    return V.behaviour_daily(
+        V.behaviour_features(*logs(day), KEYS, V.BehaviourSpec(max_cols=MAXIMA, **roles), DAY_START),
+        V.behaviour_features(*logs(day), ["id"], V.BehaviourSpec(mode_cols=(), apps="app_id", **roles), DAY_START),
+        V.behaviour_features(*logs(days), KEYS, V.BehaviourSpec(mode_cols=(), **roles)), conversions(t), KEYS,
     )
-    return table.select(*KEYS, "req_count", "imp_cnt", "clk_cnt", "if_imp", "if_clk", "req_count_2", "imp_cnt_2", "clk_cnt_2", "req_count_3", "imp_cnt_3", "clk_cnt_3", "plan_id", "if_new_enter", "if_mau")
 
 
 @query("feature_block_join", f"""WITH {EVENTS_CTE} SELECT a.user_id, a.day, a.n AS views, b.n AS clicks, c.n AS total FROM (SELECT user_id, day, count(*) AS n FROM ev WHERE event_type = 'view' GROUP BY ALL) a
