@@ -17,12 +17,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     there = links.select(F.col(a).alias("node"), F.col(b).alias("other"))
     both = stored(there.union(there.select("other", "node")).filter("node != other").distinct(), "links")
-    labels = stored(both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), "labels")
+    labels = both.groupBy("node").agg(F.least("node", F.min("other")).alias("component"))
     while True:
-        near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("near"))
-        lower = stored(labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component")), "labels")
+        near = both.join(labels.select(F.col("node").alias("other"), "component"), "other").groupBy("node").agg(F.min("component").alias("near"))
+        lower = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
         of_label = lower.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        labels_next = stored(lower.join(of_label, "component").select("node", "was", F.col("next").alias("component")), "labels")
-        labels = labels_next.select("node", "component")
-        if labels_next.filter("component != was").isEmpty():
+        after = stored(lower.join(of_label, "component").select("node", "was", F.col("next").alias("component")), "labels")
+        labels = after.select("node", "component")
+        if after.filter("component != was").isEmpty():
             return labels

@@ -95,37 +95,47 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def signatures(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, digest of the shingle set, band keys and signature of every row; the last three null without words."""
+def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+
+
+def _digest(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
+def signatures(rows: DataFrame, s: Settings) -> DataFrame:
+    """id, n_shingles, digest of the shingle set and band keys of every row; the last two null without words."""
     multipliers = s.multipliers()
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digest, keys, sigs = [], [], [], []
+            n, digest, keys = [], [], []
             for x in shingle_sets(batch.column(1), s.words):
-                sig = signature(x, multipliers) if len(x) else None
                 n.append(len(x))
-                digest.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None)
-                keys.append(band_keys(sig, s.bands) if len(x) else None)
-                sigs.append(sig.tobytes() if len(x) else None)
-            columns = [pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_shingles", "digest", "keys", "sig"])
+                digest.append(_digest(x))
+                keys.append(band_keys(signature(x, multipliers), s.bands) if len(x) else None)
+            columns = [pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_shingles", "digest", "keys"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(per_batch, "id bigint, n_shingles bigint, digest binary, keys array<bigint>, sig binary")
+    return rows.mapInArrow(per_batch, "id bigint, n_shingles bigint, digest binary, keys array<bigint>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
+def _candidates(rows: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+    """Signature and shingle set of the rows with one of ``ids``; of different texts of an identifier, those of the smallest digest."""
+    multipliers = s.multipliers()
+
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [x.view(np.int64) for x in shingle_sets(batch.column(1), s.words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
+            sets = list(shingle_sets(batch.column(1), s.words))
+            sigs = [signature(x, multipliers).tobytes() if len(x) else None for x in sets]
+            columns = [pa.array(map(_digest, sets), pa.binary()), pa.array(sigs, pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "digest", "sig", "shingles"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
-    return rows.mapInArrow(per_batch, "id bigint, shingles array<bigint>").dropDuplicates(["id"])
+    made = rows.join(ids, "id", "left_semi").mapInArrow(per_batch, "id bigint, digest binary, sig binary, shingles array<bigint>").filter("digest is not null")
+    return made.groupBy("id").agg(F.min(F.struct("digest", "sig", "shingles")).alias("of")).select("id", "of.sig", "of.shingles")
 
 
-def likely(pairs: DataFrame, sigs: DataFrame, s: Settings) -> DataFrame:
+def likely(pairs: DataFrame, candidates: DataFrame, s: Settings) -> DataFrame:
     """The pairs whose similarity may reach the threshold, judged on more and more of their signatures."""
     bounds = s.least_matches()
 
@@ -140,13 +150,13 @@ def likely(pairs: DataFrame, sigs: DataFrame, s: Settings) -> DataFrame:
                 alive, matches, done = alive[matches >= least], matches[matches >= least], n
             yield batch.select([0, 1]).take(pa.array(alive))
 
-    both = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
+    both = pairs.join(candidates.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(candidates.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(per_batch, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
     """The pairs that are linked, by their full sets."""
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
+    both = pairs.join(candidates.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b").join(candidates.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     both = both.select("a", "b", F.size(F.array_intersect("set_a", "set_b")).alias("shared"), (F.size("set_a") + F.size("set_b")).alias("total"))
     return both.filter(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b")
 
@@ -155,6 +165,38 @@ def _pair(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
+def _viable(members: DataFrame, candidates: DataFrame, s: Settings) -> DataFrame:
+    """Members (key, id, n) that may still be linked to another of their bucket, with ``own``, the shingles no other one has.
+
+    What a document has alone is in every union and no intersection, which bounds its similarity
+    to anything of at least the bucket's smallest size.
+    """
+    tokens = candidates.join(members.select("id").distinct(), "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
+    alone = tokens.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1").groupBy("id").agg(F.count("*").alias("own"))
+    least = members.groupBy("key").agg(F.min("n").alias("least"))
+    out = members.join(alone, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))).join(least, "key")
+    shared = F.col("n") - F.col("own")
+    return out.filter(100 * shared >= s.percent * F.greatest(F.col("n"), F.col("least") + F.col("own"))).drop("least")
+
+
+def _across(members: DataFrame, others: DataFrame, s: Settings) -> DataFrame:
+    """Pairs of members of a bucket with ``others`` of another component, as far as sizes and own shingles allow a link."""
+    others = others.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "own", "component")])
+    a, b = F.col("n") - F.col("own"), F.col("n2") - F.col("own2")
+    possible = 100 * F.least(a, b) >= s.percent * (F.greatest(a, b) + F.col("own") + F.col("own2"))
+    return members.join(others, "key").filter((F.col("component") != F.col("component2")) & possible).select(*_pair("id", "id2")).distinct()
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` components joined by further links; the components are nodes of a smaller graph."""
+    of = lambda end: found.select(F.col("node").alias(end), F.col("component").alias(f"{end}2"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(*_pair(F.coalesce("a2", "a"), F.coalesce("b2", "b")))
+    joined = components(between).select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    known = found.join(joined, F.col("component") == F.col("part"), "left").select("node", F.coalesce("whole", "component").alias("component"))
+    lone = joined.join(found, F.col("part") == F.col("node"), "left_anti").select(F.col("part").alias("node"), F.col("whole").alias("component"))
+    return stored(known.union(lone), "near-components")
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per row of ``docs``.
 
@@ -162,51 +204,57 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
        however many, are one node from here on.
     2. Representatives meet in the buckets of their bands.  Each bucket has a centre, another in each
        band; members are compared with it, which costs as much as the bucket is large.
-    3. What is linked so far joins into components.  In buckets that still hold several, the members
-       outside the largest one are compared with all members of other components.  So every
-       pair that shares a bucket is either compared or connected, and buckets of many like copies stay linear.
+    3. What is linked so far joins into components.  In buckets that still hold several, members whose
+       own shingles rule out any link leave; the rest is compared with the most typical member, the one with
+       the fewest own shingles.
+    4. In buckets that are still not one component, the members outside the largest one are compared with
+       all members of other components, again as far as own shingles allow a link.  So every
+       pair that shares a bucket is compared, connected or ruled out, and buckets of many like copies stay linear.
+
     A comparison prunes on signatures and verifies the rest on full sets.
 
     Null texts, and texts without words, have no shingles and are linked with nothing.  Rows that
     repeat an identifier share its component if their texts are linked.  Rows with a null
     identifier are never dropped or linked; their component is null.
     """
-    s = settings
-    rows = stored(signatures(docs, s, id_col, text_col), "near-signatures")
-    usable = rows.filter("digest is not null and id is not null")
-    classes = stored(usable.groupBy("digest").agg(F.min("id").alias("rep")), "near-classes")
-    reps = usable.select("id", "digest", F.col("n_shingles").alias("n"), "keys").join(classes, "digest").filter("id = rep").dropDuplicates(["id"])
-    exploded = reps.select("id", "n", F.explode("keys").alias("key"))
+    s, narrow = settings, _narrow(docs, id_col, text_col)
+    rows = stored(signatures(narrow, s), "near-signatures")
+    # equal sets have equal keys, so any row of a class has those of its representative
+    classes = rows.filter("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
+    classes = stored(classes, "near-classes")
+    exploded = classes.select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key"))
     order = F.struct(F.xxhash64("id", "key"), "id", "n")
     centres = exploded.groupBy("key").agg(F.count("*").alias("members"), F.min(order).alias("centre")).filter("members > 1")
     members = stored(exploded.join(centres.select("key", F.col("centre.id").alias("centre"), F.col("centre.n").alias("centre_n")), "key"), "near-members")
-    ids = stored(members.select("id").distinct(), "near-ids")
-    sigs = stored(rows.select("id", "sig").join(ids, "id").dropDuplicates(["id"]), "near-candidates")
+    candidates = stored(_candidates(narrow, members.select("id").distinct(), s), "near-candidates")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        left = stored(likely(pairs, sigs, s), "near-likely")
-        ends = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        return stored(verified(left, stored(_sets(docs, ends, s, id_col, text_col), "near-sets"), s.percent), "near-links")
+        return stored(verified(likely(pairs, candidates, s), candidates, s.percent), "near-links")
 
     similar = lambda n, m: 100 * F.least(n, m) >= s.percent * F.greatest(n, m)
-    first = stored(members.filter((F.col("id") != F.col("centre")) & similar(F.col("n"), F.col("centre_n"))).select(*_pair("id", "centre")).distinct(), "near-pairs")
-    links = linked(first)
-    found = components(links)
-
-    placed = stored(members.select("key", "id", "n").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "near-placed")
-    per = placed.groupBy("key", "component").count()
-    split = per.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("count", "component")).alias("main")).filter("parts > 1")
-    split = stored(split.select("key", F.col("main.component").alias("main")), "near-split")
-    left = placed.join(split, "key").select("key", "id", "n", "component", "main")
-    few = left.filter("component != main").select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    more = left.join(few, "key").filter((F.col("component") != F.col("component2")) & similar(F.col("n"), F.col("n2"))).select(*_pair("id", "id2")).distinct()
-    second = stored(more.join(first, ["a", "b"], "left_anti"), "near-pairs")
+    first = members.filter((F.col("id") != F.col("centre")) & similar(F.col("n"), F.col("centre_n"))).select(*_pair("id", "centre")).distinct()
+    found = components(linked(first))
+
+    def split_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, with their own and the bucket's largest one."""
+        placed = stored(members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "near-placed")
+        per = placed.groupBy("key", "component").count()
+        split = per.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("count", "component")).alias("main")).filter("parts > 1")
+        return stored(placed.join(split.select("key", F.col("main.component").alias("main")), "key"), "near-split")
+
+    left = split_buckets(members.select("key", "id", "n"), found)
+    left = _viable(left.drop("component", "main"), candidates, s)
+    left = split_buckets(left, found)
+    best = left.groupBy("key").agg(F.min(F.struct("own", "id", "n", "component")).alias("best")).select("key", "best.id", "best.n", "best.own", "best.component")
+    second = linked(_across(left, best, s))
     if not second.isEmpty():
-        extra = linked(second)
-        if not extra.isEmpty():
-            found = components(links.union(extra))
+        found = _merged(found, second)
+        left = split_buckets(left.drop("component", "main"), found)
+    third = linked(_across(left, left.filter("component != main").drop("main"), s))
+    if not third.isEmpty():
+        found = _merged(found, third)
 
-    named = rows.select("id", "n_shingles", "digest").join(classes, "digest", "left")
+    named = rows.select("id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
     named = named.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
     return named.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
