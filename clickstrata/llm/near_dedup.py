@@ -22,7 +22,8 @@ class Settings:
     """Two documents are linked when ``100 * intersection >= percent * union`` of their shingle sets.
 
     A pair at the threshold misses all bands with probability (1 - (percent/100)^rows)^bands,
-    1.5e-5 here, and is pruned with probability ``miss`` at each batch.
+    1.5e-5 here, and is pruned with probability ``miss`` at each batch.  A shingle is rare when at most
+    ``rare`` candidates hold it.
     """
 
     words: int = 5
@@ -30,6 +31,7 @@ class Settings:
     bands: int = 28
     rows: int = 5
     miss: float = 1e-6
+    rare: int = 16
     seed: int = 1
 
     @property
@@ -165,22 +167,36 @@ def _pair(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def _viable(members: DataFrame, candidates: DataFrame, s: Settings) -> DataFrame:
-    """Members (key, id, n) that may still be linked to another of their bucket, with ``own``, the shingles no other one has.
+def _rare_holders(members: DataFrame, candidates: DataFrame, most: int) -> DataFrame:
+    """id, shingle: the shingles of ``members`` that at most ``most`` of them hold."""
+    tokens = candidates.join(members.select("id").distinct(), "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
+    rare = tokens.groupBy("shingle").count().filter(F.col("count") <= most).select("shingle")
+    return stored(tokens.join(rare, "shingle"), "near-rare")
+
+
+def _viable(members: DataFrame, rare: DataFrame, s: Settings) -> DataFrame:
+    """Members (key, id, n) that may still be linked to one with which they share no rare shingle; ``own`` counts those they hold.
 
-    What a document has alone is in every union and no intersection, which bounds its similarity
+    Such shingles are in the union of the two and not in the intersection, which bounds the similarity
     to anything of at least the bucket's smallest size.
     """
-    tokens = candidates.join(members.select("id").distinct(), "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
-    alone = tokens.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1").groupBy("id").agg(F.count("*").alias("own"))
+    own = rare.groupBy("id").agg(F.count("*").alias("own"))
     least = members.groupBy("key").agg(F.min("n").alias("least"))
-    out = members.join(alone, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))).join(least, "key")
+    out = members.join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))).join(least, "key")
     shared = F.col("n") - F.col("own")
     return out.filter(100 * shared >= s.percent * F.greatest(F.col("n"), F.col("least") + F.col("own"))).drop("least")
 
 
+def _sharing(members: DataFrame, rare: DataFrame, s: Settings) -> DataFrame:
+    """Pairs of members of different components with a rare shingle in common: few hold one, so pairs stay few."""
+    held = rare.join(members.select("id", "n", "component").distinct(), "id")
+    other = held.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component")])
+    sizes = 100 * F.least("n", "n2") >= s.percent * F.greatest("n", "n2")
+    return held.join(other, "shingle").filter((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & sizes).select(*_pair("id", "id2")).distinct()
+
+
 def _across(members: DataFrame, others: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of members of a bucket with ``others`` of another component, as far as sizes and own shingles allow a link."""
+    """Pairs of members of a bucket with ``others`` of another component, as far as sizes and rare shingles, none being shared, allow a link."""
     others = others.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "own", "component")])
     a, b = F.col("n") - F.col("own"), F.col("n2") - F.col("own2")
     possible = 100 * F.least(a, b) >= s.percent * (F.greatest(a, b) + F.col("own") + F.col("own2"))
@@ -204,11 +220,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
        however many, are one node from here on.
     2. Representatives meet in the buckets of their bands.  Each bucket has a centre, another in each
        band; members are compared with it, which costs as much as the bucket is large.
-    3. What is linked so far joins into components.  In buckets that still hold several, members whose
-       own shingles rule out any link leave; the rest is compared with the most typical member, the one with
-       the fewest own shingles.
+    3. What is linked so far joins into components.  In buckets that still hold several, members of different
+       ones are compared if they share a rare shingle.  Those that share none have all their rare ones apart, which
+       rules most links out; members that may have one left are compared with the most typical of the
+       bucket, the one with the fewest rare shingles.
     4. In buckets that are still not one component, the members outside the largest one are compared with
-       all members of other components, again as far as own shingles allow a link.  So every
+       all members of other components, again as far as rare shingles allow a link.  So every
        pair that shares a bucket is compared, connected or ruled out, and buckets of many like copies stay linear.
 
     A comparison prunes on signatures and verifies the rest on full sets.
@@ -243,10 +260,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
         return stored(placed.join(split.select("key", F.col("main.component").alias("main")), "key"), "near-split")
 
     left = split_buckets(members.select("key", "id", "n"), found)
-    left = _viable(left.drop("component", "main"), candidates, s)
-    left = split_buckets(left, found)
+    rare = _rare_holders(left, candidates, s.rare)
+    sharing = _sharing(left, rare, s)
+    left = split_buckets(_viable(left.drop("component", "main"), rare, s), found)
     best = left.groupBy("key").agg(F.min(F.struct("own", "id", "n", "component")).alias("best")).select("key", "best.id", "best.n", "best.own", "best.component")
-    second = linked(_across(left, best, s))
+    second = linked(sharing.union(_across(left, best, s)).distinct())
     if not second.isEmpty():
         found = _merged(found, second)
         left = split_buckets(left.drop("component", "main"), found)
