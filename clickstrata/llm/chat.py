@@ -75,20 +75,22 @@ def _join(left: DataFrame, right: DataFrame, here: str, there: str, how: str = "
 def _climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Depth and total score from the root of every node, and its ancestors 1, 2, 4 ... steps up.
 
-    Each round joins the table with itself and so doubles the way covered.  It ends when no
-    more nodes arrive at a root: those left hang on circles.
+    Each round joins the table with itself and so doubles the way covered; nodes that have arrived at a
+    root leave it, so one deep tree costs rounds of its own nodes only.  It ends when no more
+    nodes arrive: those left hang on circles.
     """
     way = F.col("up").isNotNull()
     here = stored(nodes.select("tree", "node", F.col("parent").alias("up"), F.col("parent").isNotNull().cast("bigint").alias("depth"), F.col("score").alias("total")), "tree-climb")
-    jumps, before, under_way = [], None, here.filter(way).count()
+    arrived, jumps, before, under_way = here.filter(~way), [], None, here.filter(way).count()
     while under_way and under_way != before:
-        jumps.append(here.filter(way).select("tree", "node", "up"))
-        above = here.select("tree", "node", F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("add"))
-        joined = _join(here, above, "up", "node", "left")
-        depth, total = F.col("depth") + F.coalesce("more", F.lit(0)), F.col("total") + F.coalesce("add", F.lit(0.0))
-        here = stored(joined.select("tree", "node", F.col("next").alias("up"), depth.alias("depth"), total.alias("total")), "tree-climb")
+        walking = here.filter(way)
+        jumps.append(walking.select("tree", "node", "up"))
+        above = arrived.unionByName(walking).select("tree", "node", F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("add"))
+        depth, total = F.col("depth") + F.col("more"), F.col("total") + F.col("add")
+        here = stored(_join(walking, above, "up", "node").select("tree", "node", F.col("next").alias("up"), depth.alias("depth"), total.alias("total")), "tree-climb")
+        arrived = arrived.unionByName(here.filter(~way))
         before, under_way = under_way, here.filter(way).count()
-    return here.filter(~way).drop("up"), jumps
+    return arrived.drop("up"), jumps
 
 
 def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
