@@ -29,16 +29,39 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _opened(factorisation.classified(rows, machine).filter("predicted = 1").select(*rows.columns), docs.columns)
 
 
-def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` bundled, every row with a number of its own and a hash of its values; written, so that all jobs see the same numbers."""
     rows = _bundled(docs, "doc_id", "text")
-    return _opened(exact_dedup.exact_duplicates(rows).filter("kept").select(*rows.columns), docs.columns)
+    return stored(rows.withColumns({"row__": F.monotonically_increasing_id(), "tie__": F.xxhash64("text", F.col("others__").cast("string"))}), label)
+
+
+def _first_of_groups(rows: DataFrame, members: DataFrame, label: str) -> DataFrame:
+    """``rows`` without those of ``members`` (row__, group) that aren't the first of their group.
+
+    The smallest doc_id is first, a missing one last; rows of one doc_id go by their values, so that
+    reruns agree, and the number decides among equal rows.
+    """
+    members = stored(members, label)
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tie__", "row__")
+    firsts = members.join(rows.select("row__", "doc_id", "tie__"), "row__").groupBy("group").agg(F.min(order).alias("first")).select("first.row__")
+    return rows.join(members.join(firsts, "row__", "left_anti").select("row__"), "row__", "left_anti")
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts stays, also where rows repeat a doc_id or have none."""
+    rows = _numbered(docs, "exact-rows")
+    members = exact_dedup.exact_duplicates(rows.select("row__", "text"), "row__").filter("group_size > 1").select("row__", F.col("keep_id").alias("group"))
+    return _opened(_first_of_groups(rows, members, "exact-groups"), docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, by shingles of five words and a similarity of 0.8."""
-    dropped = near_dedup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates stays, by shingles of five words and a similarity of 0.8, whatever the rows' doc_id."""
+    rows = _numbered(docs, "near-rows")
+    others = near_dedup.near_duplicates(rows, id_col="row__").filter("not kept").select(F.col("doc_id").alias("row__"), F.col("component_id").alias("group"))
+    others = stored(others, "near-others")
+    # the row that isn't among them is the one that its group is named after
+    members = others.union(others.select(F.col("group").alias("row__"), "group").distinct())
+    return _opened(_first_of_groups(rows, members, "near-groups"), docs.columns)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

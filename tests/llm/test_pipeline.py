@@ -60,3 +60,23 @@ def test_quality_stage_on_hard_rows(spark, frame, hard):
     out = corpus_pipeline.STAGES[0][1](spark, frame(hard), SF)
     assert out.columns == frame(hard).columns and {r.predicted for r in out.collect()} <= {"mine"}
     assert corpus_pipeline.STAGES[0][1](spark, frame([]), SF).count() == 0
+
+
+def test_dedup_stages_keep_one_row_per_group_whatever_the_ids(spark, frame):
+    prose = " ".join(f"word{i}" for i in range(100))
+    near = [f"{prose} end{i}" for i in range(4)]
+    other = " ".join(f"other{i}" for i in range(100))
+    shard = [(7, prose), (8, "short text"), (None, "short  text"), (None, "no id"), (None, "no id")]
+    rows = shard + shard + [(5, near[0]), (5, near[1]), (5, other), (None, near[2]), (None, near[3])]
+    want = sorted([(7, prose), (8, "short text"), (None, "no id"), (5, near[0]), (5, near[1]), (5, other), (None, near[2]), (None, near[3])], key=repr)
+    tied = []
+    for parts in (1, 5):
+        exact = stored(corpus_pipeline.exact_stage(spark, frame(rows).repartition(parts), SF), "test-exact")
+        assert sorted(((r.doc_id, r.text) for r in exact.collect()), key=repr) == want
+        kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_stage(spark, exact, SF).collect()]
+        assert sorted((i or 0, t in near) for i, t in kept) == [(0, False), (5, False), (5, True), (8, False)]
+        tied.append(next(t for i, t in kept if t in near))
+        # copies meet in the near stage too, if they come there
+        alone = corpus_pipeline.near_stage(spark, frame([(None, prose), (None, prose), (3, other), (3, other)]), SF)
+        assert sorted((r.doc_id or 0, r.text) for r in alone.collect()) == [(0, prose), (3, other)]
+    assert tied[0] == tied[1]
