@@ -35,16 +35,19 @@ def _near_pairs(waiting: DataFrame, clicks: DataFrame, key: str, order_ts: str,
 
 def click_order_enrich(
     orders: DataFrame, clicks: DataFrame, key: str = "click_id", order_ts: str = "ts", click_ts: str = "ts",
-    fill: Sequence[str] = ("plan_id", "creative_id"), timeout: str = "20 minutes", delay: str = "0 seconds",
+    fill: Sequence[str] = ("plan_id", "creative_id"), timeout: str = "20 minutes", delay: str | None = None,
 ) -> DataFrame:
     """Streaming: a log of every order as it came, with a null ``click_time``, and of every click it may take.
 
     Orders without plan and creative may take those of a click with the same id, at most ``timeout`` of
     event time before or after.  Nothing waits for a timer: an order is in the log at once, and each
-    match when its second half arrives, so the log does not depend on how the stream is cut into
-    batches and :func:`settled_orders` of it is complete at any time.  The matches are an
-    inner stream-stream join bounded in time: Spark keeps its state and drops it behind the watermark.
+    match when its second half arrives, so :func:`settled_orders` of the log has every order at any time.
+    The matches are an inner stream-stream join bounded in time: Spark keeps its state and drops it behind
+    the watermark, and with it what arrives more than ``delay`` of event time behind the newest rows of the
+    slower side.  Up to that lateness, ``timeout`` by default, the log does not depend on how the stream is
+    cut into batches; sources that are further out of order need a larger ``delay``.
     """
+    delay = timeout if delay is None else delay
     waiting, _ = _waiting(orders, key, fill)
     c = _useful_clicks(clicks, key, click_ts, fill).withWatermark("_cts", delay)
     pairs = _near_pairs(waiting.withWatermark(order_ts, delay), c, key, order_ts, timeout)

@@ -107,6 +107,17 @@ def test_an_order_takes_the_latest_click_before_it_else_the_first_after(spark, t
     assert [r.plan_id for r in E.enrich_orders(spark.read.parquet(str(tmp_path / "o")), spark.read.parquet(str(tmp_path / "c"))).collect()] == [plan]
 
 
+def test_late_halves_meet_at_the_default_delay(spark, tmp_path, out):
+    far = [("zz", at(60 * 30), "p", "k")]
+    orders = [[("click-late", "c", at(60 * 24), None, None), ("far", None, at(60 * 30), None, None)], [("none", None, at(60 * 30), None, None)], [("none2", None, at(60 * 30), None, None)], [("order-late", "d", at(60 * 11), None, None)]]
+    clicks = [[*far, ("d", at(60 * 12), "pd", "kd")], far, far, [("c", at(60 * 25), "pc", "kc")]]
+    o = feed(spark, tmp_path / "o", orders, ORDER)
+    c = feed(spark, tmp_path / "c", clicks, CLICK)
+    U.run_stream(E.click_order_enrich(o, c), U.change_log_sink(out[0]), out[1])
+    got = {r.order_id: r.plan_id for r in E.settled_orders(spark.read.parquet(out[0])).collect()}
+    assert got == {"click-late": "pc", "order-late": "pd", "far": None, "none": None, "none2": None}
+
+
 @pytest.mark.parametrize(("size", "slide", "n"), [("2 hours", "5 seconds", 10), ("120 minutes", "1 minute", 100), ("120 minutes", "1 minute", 1000)])
 def test_panes_give_every_window_also_open_ones(spark, rows, tmp_path, out, size, slide, n):
     rnd = random.Random(9)
