@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import boosted_rules, chat, exact_dedup, factorisation, licenses, mixing, near_dedup, packing, repeats, warc
+from clickstrata.llm import boosted_rules, chat, exact_dedup, factorisation, licenses, link_trust, mixing, near_dedup, packing, repeats, warc
 from clickstrata.llm.common import stored, table
 from clickstrata.llm.docstats import BASE
 
@@ -70,6 +70,20 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+#: Rules of the registered query: verdict, host, beginning of the path.
+URL_RULES = [
+    link_trust.Rule("allow", "com", "/"),
+    link_trust.Rule("block", "example.com", "/en/"),
+    link_trust.Rule("allow", "www.example.com", "/en/"),
+    link_trust.Rule("block", "net", "/es/"),
+    link_trust.Rule("block", "net", "/fr/"),
+]
+
+
+def op13_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_factorisation": op1_factorisation,
     "op2_boosted_rules": op2_boosted_rules,
@@ -81,10 +95,12 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
+    "op13_link_trust": op13_link_trust,
 }
 
 SQL: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op8_mixing": mixing.SQL,
     "op10_licenses": licenses.duckdb_sql(),
+    "op13_link_trust": link_trust.duckdb_sql(URL_RULES),
 }
