@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import boosted_rules, chat, exact_dedup, factorisation, licenses, link_trust, mixing, near_dedup, packing, repeats, warc
+from clickstrata.llm import boosted_rules, chat, collocations, exact_dedup, factorisation, hard_negatives, licenses, link_trust, mixing, near_dedup, packing, repeats, warc
 from clickstrata.llm.common import stored, table
 from clickstrata.llm.docstats import BASE
 
@@ -70,6 +70,16 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")), F.col("id") % 100 == 0)
+
+
 #: Rules of the registered query: verdict, host, beginning of the path.
 URL_RULES = [
     link_trust.Rule("allow", "com", "/"),
@@ -95,6 +105,8 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
+    "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_link_trust": op13_link_trust,
 }
 
@@ -102,5 +114,7 @@ SQL: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op8_mixing": mixing.SQL,
     "op10_licenses": licenses.duckdb_sql(),
+    "op11_collocations": collocations.duckdb_sql(),
+    "op12_hard_negatives": hard_negatives.SQL,
     "op13_link_trust": link_trust.duckdb_sql(URL_RULES),
 }
