@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..streaming import differences as D
 from ..streaming import enrich as E
 from ..streaming import orders as O
 from ..streaming import run as U
+from ..streaming import timers as K
 from ..streaming import windows as W
 from .registry import Tables, query
 from .stand_ins import EVENTS_CTE, events
@@ -110,6 +112,42 @@ def _(t: Tables):
     return W.trending(counts, "event_type", "k", 5, 20)[1].select("window_start", "k", "n", "rn")
 
 
+def changes_sql(size: int, slide: int, n: int, group: str | None = None) -> str:
+    """Rankings of windows of ``size`` seconds by ``slide``, told where a count changes and where a part of ``size`` seconds ends."""
+    g = f"{group}, " if group else ""
+    same = f" AND x.{group} = y.{group}" if group else ""
+    ox = f"x.{group}, " if group else ""
+    return f"""WITH {EVENTS_CTE}, pn AS (SELECT {g}k, sec // {slide} * {slide} - {size - slide} AS enters, sec // {slide} * {slide} + {slide} AS leaves, count(*) AS n FROM ev GROUP BY ALL),
+pt AS (SELECT *, unnest(range(enters // {size}, (leaves - 1) // {size} + 1)) AS part FROM pn),
+df AS (SELECT part, {g}w FROM (SELECT part, {g}k, greatest(enters, part * {size}) AS w, n FROM pt UNION ALL SELECT part, {g}k, least(leaves, (part + 1) * {size}), -n FROM pt) GROUP BY part, {g}k, w HAVING sum(n) <> 0),
+nx AS (SELECT {g}w, lead(w) OVER (PARTITION BY part{', ' + group if group else ''} ORDER BY w) AS until FROM (SELECT DISTINCT * FROM df)),
+ct AS (SELECT {ox}w, until, k, CAST(sum(n) AS BIGINT) AS n FROM nx x JOIN pn y ON y.enters <= x.w AND x.w < y.leaves{same} WHERE until IS NOT NULL GROUP BY ALL)
+SELECT strftime(make_timestamp(w * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start, (until - w) // {slide} AS windows, {g}k, n, row_number() OVER (PARTITION BY {g}w ORDER BY n DESC, k) AS rn FROM ct QUALIFY rn <= {n}"""
+
+
+@query("sliding_top_items_5s", changes_sql(7200, 5, 10))
+def _(t: Tables):
+    return D.top_by_changes(W.pane_counts(static_events(t), "ts", ["k"], "5 seconds"), "k", "2 hours", "5 seconds", 10)
+
+
+@query("sliding_top_items_5s_stream", changes_sql(7200, 5, 10))
+def _(t: Tables):
+    panes = pane_log(t, "topn-5s", event_stream(t), ["k"], "5 seconds", "2 seconds")
+    return D.top_by_changes(panes, "k", "2 hours", "5 seconds", 10)
+
+
+@query("trending_per_channel_minutes", changes_sql(7200, 60, 100, "event_type"))
+def _(t: Tables):
+    panes = W.pane_counts(static_events(t), "ts", ["event_type", "k"], "1 minute")
+    return D.top_by_changes(panes, "k", "120 minutes", "1 minute", 100, ["event_type"])
+
+
+@query("trending_overall_minutes_stream", changes_sql(7200, 60, 1000))
+def _(t: Tables):
+    panes = pane_log(t, "trending-minutes", event_stream(t), ["event_type", "k"], "1 minute", "2 seconds")
+    return D.top_by_changes(panes.groupBy("pane_start", "k").agg(F.sum("n").alias("n")), "k", "120 minutes", "1 minute", 1000)
+
+
 COUNTERS_SQL = f"""WITH {EVENTS_CTE} SELECT day, user_id, {', '.join(f"count(*) FILTER (WHERE k % 4 = {c}) AS {n}" for n, c in W.DELIVERY_EVENTS.items())} FROM ev GROUP BY ALL"""
 
 
@@ -191,6 +229,36 @@ def _(t: Tables):
     return E.settled_orders(U.open_change_log(t.spark, out, log)).select("order_id", "plan_id", "creative_id")
 
 
+def run_with_ticks(t: Tables, label: str, made):
+    """Runs the stream ``made(ticks)`` to the end of the tables; then time goes on, and the query with it from its checkpoint."""
+    out, checkpoint = stored(t, label)
+    pause = scratch_path(t.spark, f"{label}-ticks")
+    for tick in (t.spark.sql("SELECT timestamp'1970-01-01 00:00:00Z' AS ts"), static_events(t).agg((F.max("ts") + F.expr("interval 2 hours")).alias("ts"))):
+        tick.coalesce(1).write.mode("append").parquet(pause)
+        stream = made(U.read_files(t.spark, pause, "ts timestamp"))
+        with K.rocksdb_state(t.spark):
+            U.run_stream(stream, U.change_log_sink(out), checkpoint)
+    return U.open_change_log(t.spark, out, stream)
+
+
+@query("click_order_timers_stream", WAIT_SQL)
+def _(t: Tables):
+    def made(ticks):
+        return K.orders_on_time(orders_and_clicks(event_stream(t))[0], orders_and_clicks(event_stream(t))[1], ticks=ticks)
+
+    return run_with_ticks(t, "timers", made).select("order_id", "plan_id", "creative_id")
+
+
+@query("latest_view_per_click_stream", f"""WITH {EVENTS_CTE} SELECT c.event_id AS click_id, v.event_id AS view_id FROM ev c LEFT JOIN ev v ON v.user_id = c.user_id AND v.event_type = 'view' AND v.ts BETWEEN c.ts - INTERVAL 30 MINUTE AND c.ts
+WHERE c.event_type = 'click' QUALIFY row_number() OVER (PARTITION BY c.event_id ORDER BY v.ts DESC NULLS LAST, v.event_id) = 1""")
+def _(t: Tables):
+    def made(ticks):
+        side = lambda kind, name: event_stream(t).where(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(name), "ts")
+        return K.latest_before(side("click", "click_id"), side("view", "view_id"), "user_id", "ts", "ts", ["view_id"], "30 minutes", ticks=ticks)
+
+    return run_with_ticks(t, "latest", made).select("click_id", "view_id")
+
+
 LINES_CTE = EVENTS_CTE + ", ol AS (SELECT event_id, sec, user_id, k, event_type FROM ev)"
 
 
