@@ -66,6 +66,11 @@ def _(t: Tables):
     return O.ip_geo_join(device_log(t).select("event_id", "ip"), nation_ranges(t), "ip", ["n_name", "r_name"], prefix_bits=8)
 
 
+@query("ip_as_of_join", f"WITH {DEVICE_CTE}, {RANGES} SELECT event_id, ip, n_name, r_name FROM dv LEFT JOIN rg ON {IP_NUM} BETWEEN lo AND hi")
+def _(t: Tables):
+    return O.ip_as_of_join(device_log(t).select("event_id", "ip"), nation_ranges(t), "ip", ["n_name", "r_name"])
+
+
 @query("blacklist_counts", f"""WITH {DEVICE_CTE}, u AS (SELECT app_id, 'imei' AS kind, imei AS value FROM dv UNION ALL SELECT app_id, 'idfa', idfa FROM dv UNION ALL SELECT app_id, 'anid', android_id FROM dv),
 bl AS (SELECT 'idfa' AS kind, 'IDFA-' || s_suppkey AS value FROM supplier UNION SELECT 'anid', 'an' || s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)
 SELECT app_id, kind, count(*) FILTER (WHERE l) AS exists_cnt, count(*) FILTER (WHERE NOT l) AS not_exists_cnt

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import bitmaps as M
 from ..operators import quality as Y
 from ..operators.dims import ip_geo_join
+from ..session import written
 from .lookups import IP_NUM, RANGES, nation_ranges
 from .registry import Tables, query, r
 from .stand_ins import DEVICE_CTE, EVENTS_CTE, device_log, events
@@ -70,3 +72,38 @@ def _(t: Tables):
 @query("median_per_group", f"WITH {EVENTS_CTE} SELECT event_type, {r('quantile_cont(value, 0.5)')} AS med FROM ev GROUP BY event_type")
 def _(t: Tables):
     return Y.grouped_percentile(events(t), ["event_type"], "value", 0.5, "med")
+
+
+TAIL = (0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0)
+TAIL_CTE = "tl AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE 's' || (l_suppkey % 50) END AS grp, CAST(l_extendedprice AS DOUBLE) / (1 + l_linenumber * l_linenumber * l_linenumber) AS v FROM lineitem)"
+
+
+@query("order_statistics", f"WITH {TAIL_CTE}, {', '.join(f'q{i} AS (SELECT grp, {q} AS q, quantile_cont(v, {q}) AS p FROM tl GROUP BY grp)' for i, q in enumerate(TAIL))} SELECT grp, {r('q')} AS q, {r('p')} AS percentile FROM ({' UNION ALL '.join(f'SELECT * FROM q{i}' for i in range(len(TAIL)))})")
+def _(t: Tables):
+    hot, n = F.col("l_orderkey") % 3 == 0, F.col("l_linenumber")
+    price = F.col("l_extendedprice").cast("double")
+    tail = t.lineitem.select(F.when(hot, "hot").otherwise(F.concat(F.lit("s"), F.col("l_suppkey") % 50)).alias("grp"), (price / (1 + n * n * n)).alias("v"))
+    return Y.order_statistics(tail, ["grp"], "v", TAIL, rows_per_range=5000)
+
+
+def daily(t: Tables):
+    """Daily bitmaps of users per event type; users of the second half of the month are numbered after those of the first."""
+    e = events(t)
+    numbers = M.number_ids(e.where("day <= '2024-01-15'"), "event_type", "user_id")
+    return written(M.daily_bitmaps(e, "day", "event_type", "user_id", M.number_ids(e, "event_type", "user_id", numbers)), "bitmaps")
+
+
+@query("distinct_days_from_bitmaps", f"WITH {EVENTS_CTE} SELECT event_type AS kind, count(DISTINCT user_id) AS cnt FROM ev WHERE day IN ('2024-01-03', '2024-01-04', '2024-01-20') GROUP BY event_type")
+def _(t: Tables):
+    return M.distinct_ids(daily(t), ["2024-01-03", "2024-01-04", "2024-01-20"])
+
+
+@query("rolling_distinct_days", f"WITH {EVENTS_CTE}, d AS (SELECT DISTINCT event_type, user_id, day FROM ev) SELECT a.event_type AS kind, a.day, count(DISTINCT b.user_id) AS cnt FROM (SELECT DISTINCT event_type, day FROM ev) a JOIN d b ON a.event_type = b.event_type AND CAST(b.day AS DATE) BETWEEN CAST(a.day AS DATE) - 6 AND CAST(a.day AS DATE) GROUP BY ALL")
+def _(t: Tables):
+    return M.rolling_distinct(daily(t), 7)
+
+
+@query("seen_on_both_days", f"WITH {EVENTS_CTE} SELECT event_type AS kind, count(*) AS both FROM (SELECT event_type, user_id FROM ev WHERE day = '2024-01-14' INTERSECT SELECT event_type, user_id FROM ev WHERE day = '2024-01-16') GROUP BY event_type")
+def _(t: Tables):
+    both = M.seen_on_both(daily(t), "2024-01-14", "2024-01-16")
+    return both.where("both > 0")

@@ -106,15 +106,24 @@ def brand_baskets(t: Tables):
     return K.cookie_items(rows, "o", "i", lo=1, hi=None, as_text=False)
 
 
-@query("frequent_item_sets", f"""WITH {BRANDS_CTE}, s AS (SELECT i AS items, count(*) AS freq FROM b GROUP BY i
+ITEM_SETS_SQL = f"""WITH {BRANDS_CTE}, s AS (SELECT i AS items, count(*) AS freq FROM b GROUP BY i
   UNION ALL SELECT x.i || ',' || y.i, count(*) FROM b x JOIN b y ON x.o = y.o AND x.i < y.i GROUP BY 1
   UNION ALL SELECT x.i || ',' || y.i || ',' || z.i, count(*) FROM b x JOIN b y ON x.o = y.o AND x.i < y.i JOIN b z ON x.o = z.o AND y.i < z.i GROUP BY 1)
-SELECT items, freq FROM s, n WHERE freq >= ceil(n * {SUPPORT})""")
+SELECT items, freq FROM s, n WHERE freq >= ceil(n * {SUPPORT})"""
+
+
+@query("frequent_item_sets", ITEM_SETS_SQL)
 def _(t: Tables):
     sets, _ = K.freq_itemsets(brand_baskets(t), "items", SUPPORT)
     return sets.select(F.concat_ws(",", F.sort_array("items")).alias("items"), "freq")
 
 
+@query("apriori_item_sets", ITEM_SETS_SQL)
+def _(t: Tables):
+    sets = K.apriori(brand_baskets(t), "items", SUPPORT, longest=3)
+    return sets.select(F.concat_ws(",", "items").alias("items"), "freq")
+
+
 @query("association_rules", f"""WITH {BRANDS_CTE}, one AS (SELECT i AS a, count(*) AS f FROM b GROUP BY i), two AS (SELECT x.i AS p, y.i AS q, count(*) AS f FROM b x JOIN b y ON x.o = y.o AND x.i < y.i GROUP BY 1, 2),
 three AS (SELECT x.i AS p, y.i AS q, z.i AS s, count(*) AS f FROM b x JOIN b y ON x.o = y.o AND x.i < y.i JOIN b z ON x.o = z.o AND y.i < z.i GROUP BY 1, 2, 3),
 sets AS (SELECT a, f FROM one UNION ALL SELECT p || ',' || q, f FROM two),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def cookie_items(
     df: DataFrame, user: str, item: str, group: str | None = None, lo: int = 2, hi: int | None = 200, as_text: bool = True
@@ -72,6 +75,63 @@ def freq_itemsets(baskets: DataFrame, items: str, support: float, confidence: fl
     return model.freqItemsets, model.associationRules
 
 
+def candidate_sets(frequent: DataFrame, k: int) -> DataFrame:
+    """``items, last``: sets of ``k`` items all of whose subsets of ``k - 1`` are among the ``items`` of ``frequent``.
+
+    Two frequent sets that differ in their last item only make a candidate, whose beginning and last item are told apart;
+    the other subsets, each without one of the items before these two, are looked up one after the other.
+    """
+    sets = frequent.select("items", F.slice("items", 1, k - 2).alias("head"), F.element_at("items", -1).alias("last"))
+    other = sets.select("head", F.col("last").alias("next"))
+    pairs = sets.join(other, "head").where("last < next").select("items", F.col("next").alias("last"))
+    for i in range(k - 2):
+        without = F.concat(F.slice("items", 1, i), F.slice("items", i + 2, k), F.array("last"))
+        pairs = pairs.withColumn("_sub", without).join(frequent.select(F.col("items").alias("_sub")), "_sub", "left_semi").drop("_sub")
+    return pairs
+
+
+def apriori(baskets: DataFrame, items: str, support: float, longest: int = 8) -> DataFrame:
+    """``items, freq``: the sets of up to ``longest`` items found in at least ``support`` of all baskets, level by level.
+
+    Equal baskets are one row with a weight.  A level keeps which of its frequent sets a basket holds; the next one
+    extends these by the last items of the candidates that begin with them, and keeps what a semi-join finds in the
+    basket.  Pairs are counted from the frequent items of a basket, so only pairs that occur are
+    looked at; lists are expected to be bounded, as those of :func:`cookie_items` are.  Every level is a written
+    table; the driver learns the number of baskets and whether a level is empty.  Null items and baskets are left out, repeated items count once.
+    """
+    lists = F.array_sort(F.array_distinct(F.filter(items, lambda x: x.isNotNull())))
+    rows = baskets.where(F.col(items).isNotNull()).groupBy(lists.alias("all")).agg(F.count(F.lit(1)).alias("w"))
+    rows = written(rows.withColumn("basket", F.monotonically_increasing_id()), "baskets")
+    least = math.ceil((rows.agg(F.sum("w")).first()[0] or 0) * support)
+
+    def frequent(held: DataFrame, k: int) -> DataFrame:
+        counts = held.groupBy("items").agg(F.sum("w").alias("freq"))
+        return written(counts.where((F.col("freq") >= max(1, least)) & (F.size("items") == k)), f"frequent-{k}")
+
+    single = rows.select("basket", "w", F.explode("all").alias("item"))
+    level = frequent(single.select("w", F.array("item").alias("items")), 1)
+    single = written(single.join(level.select(F.col("items")[0].alias("item")), "item", "left_semi").select("basket", "item", "w"), "frequent-items")
+    found, held = [level], single.select("basket", "w", F.array("item").alias("items"))
+    for k in range(2, longest + 1):
+        if level.isEmpty():
+            break
+        if k == 2:
+            pair = single.select("basket", "w", F.col("item").alias("first")).join(single.select("basket", "item"), "basket").where("first < item")
+            grown = pair.select("basket", "w", F.array("first", "item").alias("items"))
+        else:
+            more = held.join(candidate_sets(level, k), "items").withColumnRenamed("last", "item")
+            more = more.join(single.select("basket", "item"), ["basket", "item"], "left_semi")
+            grown = more.select("basket", "w", F.concat("items", F.array("item")).alias("items"))
+        grown = written(grown, f"grown-{k}")
+        level = frequent(grown, k)
+        held = written(grown.join(level.select("items"), "items", "left_semi").select("basket", "w", "items"), f"held-{k}") if k < longest else grown
+        found.append(level)
+    whole = found[0]
+    for f in found[1:]:
+        whole = whole.union(f)
+    return whole.select("items", "freq")
+
+
 def top_overlap(df: DataFrame, keys: Sequence[str], user: str) -> DataFrame:
     """Hits and distinct visitors per key."""
     pairs = df.groupBy(*keys, user).agg(F.count(F.lit(1)).alias("_n"))

@@ -8,11 +8,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import as_col, blank_to
 from ..functions.identity import ip_to_long
+from ..session import written
 
 
 @dataclass(frozen=True)
@@ -171,6 +172,38 @@ def ip_geo_join(
     return rows.join(r, cond, "left").drop("_n", "_p", "_rp", "_s", "_e")
 
 
+def last_start(points: DataFrame, ranges: DataFrame, point: str, start: str, values: Sequence[str]) -> DataFrame:
+    """``point`` and ``values``: every different point with the values of the greatest ``start`` at or below it; nulls when there is none.
+
+    Points and starts are sorted together in ranges of their common order, and the last start is carried along.  What a range of
+    the order begins with is the last start of those before it: one row per range of the order is put in front.
+    """
+    held = F.struct(F.col(start).cast("bigint").alias("_s"), *values)
+    starts = ranges.where(F.col(start).isNotNull()).select(held.alias("_h")).select(F.col("_h._s").alias("_at"), F.lit(0).alias("_point"), "_h")
+    asked = points.select(F.col(point).cast("bigint").alias("_at")).where("_at IS NOT NULL").distinct()
+    both = starts.union(asked.select("_at", F.lit(1), F.lit(None).cast(starts.schema["_h"].dataType)))
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(both.repartitionByRange(parts, "_at").withColumn("_part", F.spark_partition_id()), "points-and-starts")
+    ends = dealt.groupBy("_part").agg(F.max(F.when(F.col("_point") == 0, F.struct("_at", "_h"))).alias("_end"))
+    # one row per range of the order, of which there are as many as shuffle partitions
+    before = ends.select("_part", F.max("_end").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_b"))
+    front = before.where("_b IS NOT NULL").select(F.col("_b._at").alias("_at"), F.lit(0).alias("_point"), F.col("_b._h").alias("_h"), "_part")
+    # within a range of the order a window cannot be split, so it is a partition of its own
+    along = Window.partitionBy("_part").orderBy("_at", "_point").rowsBetween(Window.unboundedPreceding, 0)
+    carried = dealt.unionByName(front).withColumn("_l", F.last("_h", ignorenulls=True).over(along))
+    return carried.where("_point = 1").select(F.col("_at").alias(point), F.col("_l._s").alias(start), *[F.col(f"_l.{v}").alias(v) for v in values])
+
+
+def ip_as_of_join(df: DataFrame, ranges: DataFrame, ip: str, values: Sequence[str], start: str = "ip_start", end: str = "ip_end") -> DataFrame:
+    """:func:`ip_geo_join` for ranges of any width: each address takes the last range that starts at or below it, if it also holds it.
+
+    No range is repeated, and an address is looked up once however many rows have it.  ``ranges`` don't overlap.
+    """
+    rows = df.select(*[c for c in df.columns if c not in values], ip_to_long(ip).alias("_n"))
+    found = last_start(rows, ranges, "_n", start, [end, *values]).where(F.col("_n") <= F.col(end)).select(F.col("_n").alias("_f"), *values)
+    return rows.join(found, F.col("_n") == F.col("_f"), "left").drop("_n", "_f")
+
+
 def build_link_dim(tags: DataFrame, links: DataFrame, on: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
     """Tag map LEFT JOIN link → one look-up table; ``on`` maps tag columns to link columns."""
     cond = None

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import is_blank
+from ..session import written
 from .features import join_null_safe
 from .ranking import topn_per_group
 
@@ -113,13 +114,13 @@ def score_histogram(df: DataFrame, score: str, buckets_per_unit: int = 10) -> Da
     )
 
 
-def exact_percentile(df: DataFrame, value: str, q: float, accuracy: int = 1_000_000, cells: int = 1024) -> DataFrame:
+def exact_percentile(df: DataFrame, value: str, q: float, accuracy: int = 1_000_000, cells: int = 1024, rows_at_once: int = 1_000_000) -> DataFrame:
     """Exact interpolated percentile of a whole column without sorting it in one place.
 
-    Three passes: a quantile sketch brackets the answer; one aggregation counts the values below the
-    bracket and in each of ``cells`` equal parts of it; the parts that hold the two ranks asked for,
-    about ``4 / accuracy / cells`` of the rows, are counted per value and ranked.
-    The driver sees the bracket and the counts of its parts.
+    A quantile sketch brackets the answer; one aggregation counts the values below the bracket and in each of ``cells``
+    equal parts of it.  While the parts that hold the two ranks asked for have more than ``rows_at_once`` rows, they
+    become the next bracket; then their values are counted and ranked.
+    The driver sees brackets and the counts of their parts.
     """
     v = F.col(value).cast("double")
     rows = df.select(v.alias("v")).where(F.col("v").isNotNull())
@@ -127,25 +128,76 @@ def exact_percentile(df: DataFrame, value: str, q: float, accuracy: int = 1_000_
     lo, hi = rows.agg(F.percentile_approx("v", max(0.0, q - slack), accuracy), F.percentile_approx("v", min(1.0, q + slack), accuracy)).first()
     if lo is None:
         return df.sparkSession.createDataFrame([(None,)], "percentile double")
-    width = (hi - lo) / cells
-    inner = F.least(F.floor((F.col("v") - lo) / width), F.lit(cells - 1)) if width > 0 else F.lit(0)
-    cell = F.when(F.col("v") < lo, -1).when(F.col("v") > hi, cells).otherwise(inner).cast("int")
-    counts = sorted((r["cell"], r["count"]) for r in rows.groupBy(cell.alias("cell")).count().collect())
-    position = (sum(n for _, n in counts) - 1) * q
-    ranks, upto, wanted, before = {int(position), math.ceil(position)}, 0, [], None
-    for c, n in counts:
-        if any(upto <= k < upto + n for k in ranks):
-            wanted.append(c)
-            before = upto if before is None else before
-        upto += n
-    inside = rows.where(cell.isin(wanted)).groupBy("v").agg(F.count(F.lit(1)).alias("f"))
+    position = before = None
+    while True:
+        width = (hi - lo) / cells
+        inner = F.least(F.floor((F.col("v") - lo) / width), F.lit(cells - 1)) if width > 0 else F.lit(0)
+        cell = F.when(F.col("v") < lo, -1).when(F.col("v") > hi, cells).otherwise(inner).cast("int")
+        counts = sorted((r["cell"], r["n"], r["lo"], r["hi"]) for r in rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        if position is None:
+            position = (sum(c[1] for c in counts) - 1) * q
+        ranks, upto, wanted, skipped = {int(position), math.ceil(position)}, 0, [], 0
+        for c in counts:
+            if any(upto <= k < upto + c[1] for k in ranks):
+                wanted.append(c)
+                skipped = upto if len(wanted) == 1 else skipped
+            upto += c[1]
+        before = skipped
+        inside = rows.where(cell.isin([c[0] for c in wanted]))
+        bracket = (min(c[2] for c in wanted), max(c[3] for c in wanted))
+        if sum(c[1] for c in wanted) <= rows_at_once or bracket == (lo, hi) or bracket[0] == bracket[1]:
+            break
+        lo, hi = bracket
     # A short frequency table, cumulated in value order; the parts wanted are neighbours.
-    cum = inside.withColumn("upto", F.sum("f").over(Window.orderBy("v")) + before)
+    cum = inside.groupBy("v").agg(F.count(F.lit(1)).alias("f")).withColumn("upto", F.sum("f").over(Window.orderBy("v")) + before)
     a, b = (F.min(F.when(F.col("upto") > k, F.col("v"))) for k in (int(position), math.ceil(position)))
     return cum.agg(a.alias("_a"), b.alias("_b")).select((F.col("_a") + (F.col("_b") - F.col("_a")) * (position - int(position))).alias("percentile"))
 
 
+def order_statistics(
+    df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], out: str = "percentile", rows_per_range: int = 1_000_000, most_ranges: int = 4096,
+) -> DataFrame:
+    """``keys…, q, out``: exact interpolated percentiles of every key, all ``qs`` at once.
+
+    Values are counted per key, so equal ones are one row, and dealt into ranges of (key, value) by sampled splitters: a key of
+    any size is spread over as many ranges as it needs.  The counts of the ranges tell which of them hold a rank that is
+    wanted; only these go on, split again until none has more than ``rows_per_range`` values, and are cumulated, each range for
+    itself.  The driver sees the number of values and the size of the largest range.  Null keys are a key, null values are left out.
+    """
+    groups = [f"_k{i}" for i in range(len(keys))]
+    named = df.select(*[F.col(k).alias(g) for k, g in zip(keys, groups)], F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    # one column to join on, in which null is a value
+    rows = named.groupBy(F.struct(F.lit(0).alias("_"), *groups).alias("_key"), "_v").agg(F.count(F.lit(1)).alias("_f")).withColumns({"_range": F.lit(0), "_before": F.lit(0).cast("bigint")})
+    rows = written(rows, "frequencies")
+    last = (F.sum("_f").cast("bigint") - 1).alias("_last")
+    spots = rows.groupBy("_key").agg(last).select("_key", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"), (F.col("_last") * F.col("q")).alias("_at"))
+    ranks = written(spots.select("_key", "q", "_at", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_rank")), "ranks")
+    left = rows.count()
+    while True:
+        parts = min(most_ranges, max(1, math.ceil(left / rows_per_range)))
+        rows = written(rows.drop("_range").repartitionByRange(parts, "_key", "_v").withColumn("_range", F.spark_partition_id()), "ranges")
+        sizes = rows.groupBy("_key", "_range", "_before").agg(F.sum("_f").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"))
+        # what was split further has its own count of smaller values; its pieces follow each other in value
+        upto = F.sum("_n").over(Window.partitionBy("_key", "_before").orderBy("_lo"))
+        placed = sizes.withColumn("_start", F.col("_before") + upto - F.col("_n"))
+        held = placed.join(ranks.select("_key", "_rank").distinct(), "_key").where("_start <= _rank AND _rank < _start + _n")
+        wanted = written(held.groupBy("_key", "_range", "_before").agg(F.first("_start").alias("_start"), F.first("_rows").alias("_rows")), "wanted-ranges")
+        rows = rows.join(wanted, ["_key", "_range", "_before"]).select("_key", "_v", "_f", "_range", F.col("_start").alias("_before"))
+        left, largest = wanted.agg(F.sum("_rows"), F.max("_rows")).first()
+        if left is None or largest <= rows_per_range or parts == 1:
+            break
+        rows = written(rows, "kept-ranges")
+    upto = F.sum("_f").over(Window.partitionBy("_key", "_range", "_before").orderBy("_v")) + F.col("_before")
+    cum = rows.withColumn("_upto", upto)
+    found = cum.join(ranks, "_key").where("_upto - _f <= _rank AND _rank < _upto")
+    a, b = F.min("_v"), F.max("_v")
+    done = found.groupBy("_key", "q", "_at").agg(a.alias("_a"), b.alias("_b"))
+    return done.select(
+        *[F.col(f"_key.{g}").alias(k) for k, g in zip(keys, groups)], "q",
+        (F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_at") - F.floor("_at"))).alias(out),
+    )
+
+
 def grouped_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str) -> DataFrame:
-    """Exact interpolated percentile per key over the key's value frequencies."""
-    freq = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_f"))
-    return freq.groupBy(*keys).agg(F.percentile(value, F.lit(q), F.col("_f")).alias(out))
+    """Exact interpolated percentile per key, keys of any size."""
+    return order_statistics(df, keys, value, [q], out).drop("q")

@@ -231,3 +231,86 @@ def test_frequent_items_three_baskets(spark):
     df = spark.createDataFrame([(["1", "2", "5"],), (["1", "2", "3", "5"],), (["1", "2"],)], "items array<string>")
     sets, _ = K.freq_itemsets(df, "items", 0.5, 0.6)
     assert {"".join(sorted(r["items"])): r.freq for r in sets.collect()} == {"1": 3, "2": 3, "5": 2, "12": 3, "15": 2, "25": 2, "125": 2}
+
+
+@pytest.mark.parametrize("rows_per_range", [20, 1_000_000])
+def test_order_statistics_of_a_heavy_tail_and_a_hot_group(spark, rows_per_range):
+    rnd = random.Random(8)
+    data = [("hot" if i % 3 == 0 else rnd.choice(["a", "b", None]), rnd.paretovariate(0.3)) for i in range(3000)]
+    data += [("one", 5.0), ("two", 1.0), ("two", 2.0), ("same", 7.0), ("same", 7.0), ("same", 7.0), ("none", None)] + [("hot", 1.0)] * 500
+    df = spark.createDataFrame(data, "k string, v double").repartition(5)
+    qs = [0.0, 0.1, 0.5, 0.937, 1.0]
+    got = {(r.k, r.q): r.percentile for r in Y.order_statistics(df, ["k"], "v", qs, rows_per_range=rows_per_range, most_ranges=8).collect()}
+    want = {}
+    for k in {k for k, v in data if v is not None}:
+        values = sorted(v for kk, v in data if kk == k and v is not None)
+        for q in qs:
+            p = (len(values) - 1) * q
+            lo = values[int(p)]
+            want[k, q] = lo + (values[min(int(p) + 1, len(values) - 1)] - lo) * (p - int(p)) if p > int(p) else lo
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], rel=1e-12) for x in want)
+
+
+def test_order_statistics_without_keys_or_rows(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(101)], "v double")
+    assert [tuple(r) for r in Y.order_statistics(df, [], "v", [0.25], rows_per_range=10).collect()] == [(0.25, 25.0)]
+    assert Y.order_statistics(df.limit(0), [], "v", [0.25]).collect() == []
+
+
+def test_percentile_of_a_crowded_part_takes_further_passes(spark):
+    rnd = random.Random(2)
+    values = [1e9 + rnd.random() * 1e-3 for _ in range(4000)] + [rnd.random() for _ in range(10)] + [1e15] * 3
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for q in (0.5, 0.9):
+        s = sorted(values)
+        p = (len(s) - 1) * q
+        want = s[int(p)] + (s[int(p) + 1] - s[int(p)]) * (p - int(p))
+        assert Y.exact_percentile(df, "v", q, accuracy=10, cells=16, rows_at_once=5).first()[0] == pytest.approx(want, rel=1e-15)
+
+
+def test_apriori_finds_the_sets_of_fp_growth(spark):
+    rnd = random.Random(3)
+    baskets = [sorted({f"i{min(rnd.randrange(12), rnd.randrange(12))}" for _ in range(rnd.randrange(0, 8))}) for _ in range(400)]
+    df = spark.createDataFrame([(b,) for b in baskets], "items array<string>")
+    want, _ = K.freq_itemsets(df, "items", 0.03)
+    sets = lambda d: sorted((sorted(r.items_), r.freq) for r in d.withColumnRenamed("items", "items_").collect())
+    got = sets(K.apriori(df, "items", 0.03))
+    assert got == sets(want) and max(len(s) for s, _ in got) >= 3
+    assert sets(K.apriori(df, "items", 0.03, longest=2)) == [x for x in got if len(x[0]) <= 2]
+
+
+def test_apriori_on_hard_baskets(spark):
+    df = spark.createDataFrame([(None,), ([],), (["a", "a", None],), (["a", "b"],), (["b", "a"],)], "items array<string>")
+    assert sorted((r[0], r.freq) for r in K.apriori(df, "items", 0.5).collect()) == [(["a"], 3), (["a", "b"], 2), (["b"], 2)]
+    assert K.apriori(df.limit(0), "items", 0.5).collect() == []
+
+
+def test_addresses_take_the_range_that_starts_last(spark, rows):
+    rnd = random.Random(6)
+    bounds = sorted(rnd.sample(range(2**32), 400))
+    ranges = [(a, b, f"p{a}") for a, b in zip(bounds[::2], bounds[1::2])]
+    numbers = [rnd.randrange(2**32) for _ in range(500)] + [x for a, b, _ in ranges[:40] for x in (a, b, a - 1, b + 1)] + [5] * 200
+    ips = [(i, ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))) for i, n in enumerate(numbers)] + [(-1, "bad"), (-2, None)]
+    df = spark.createDataFrame(ips, "i int, ip string").repartition(4)
+    r = spark.createDataFrame(ranges, "ip_start bigint, ip_end bigint, place string")
+    want = sorted([(i, next((p for a, b, p in ranges if a <= n <= b), None)) for i, n in enumerate(numbers)] + [(-1, None), (-2, None)], key=repr)
+    assert rows(O.ip_as_of_join(df, r, "ip", ["place"]), "i", "place") == want
+    assert rows(O.ip_as_of_join(df.limit(1), r.limit(0), "ip", ["place"]), "place") == [(None,)]
+
+
+def test_bitmaps_count_distinct_ids_over_days(spark, rows):
+    from clickstrata.operators import bitmaps as M
+
+    rnd = random.Random(11)
+    data = [(f"2024-01-{rnd.randrange(1, 10):02d}", rnd.choice(["a", "b", None]), f"u{rnd.randrange(60)}" if i % 3 else "hot") for i in range(900)] + [("2024-01-01", "a", None)]
+    df = spark.createDataFrame(data, "day string, kind string, id string").repartition(4)
+    numbers = M.number_ids(df.where("day < '2024-01-05'"), "kind", "id")
+    numbers = M.number_ids(df, "kind", "id", numbers)
+    assert numbers.count() == numbers.select("number").distinct().count() == df.where("id IS NOT NULL").select("kind", "id").distinct().count()
+    bits = M.daily_bitmaps(df, "day", "kind", "id", numbers).cache()
+    ids = lambda kind, days: {i for d, k, i in data if k == kind and d in days and i is not None}
+    days = ["2024-01-02", "2024-01-07"]
+    assert {r.kind: r.cnt for r in M.distinct_ids(bits, days).collect()} == {k: len(ids(k, days)) for k in ("a", "b", None)}
+    assert {r.kind: r.both for r in M.seen_on_both(bits, *days).collect()} == {k: len(ids(k, days[:1]) & ids(k, days[1:])) for k in ("a", "b", None)}
+    got = {(r.kind, r.day): r.cnt for r in M.rolling_distinct(bits, 3).collect()}
+    assert got == {(k, d): len(ids(k, [f"2024-01-{n:02d}" for n in range(int(d[-2:]) - 2, int(d[-2:]) + 1)])) for k in ("a", "b", None) for d in {x for x, kk, _ in data if kk == k}}
