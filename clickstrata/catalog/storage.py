@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sinks import buckets as B
 from ..sinks import snapshots as N
 from ..sinks import writers as W
+from ..sources import scans as S
 from ..sources.scans import load_dimensions, read_gz_text, read_named_files
 from .devices import CROWD_SQL, crowd
 from .registry import Tables, query, r
@@ -71,6 +73,67 @@ def _(t: Tables):
     return N.read_snapshot(t.spark, path)
 
 
+def late_max(rows):
+    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("last_max"))
+
+
+@query("bucket_upsert", f"""WITH {EVENTS_CTE}, a AS (SELECT user_id, count(*) AS n FROM ev WHERE day <= '2024-01-28' OR user_id < 5 GROUP BY user_id),
+m AS (SELECT user_id, max(value) FILTER (WHERE day <= '2024-01-15') AS m0, max(value) FILTER (WHERE day > '2024-01-15' AND day <= '2024-01-28') AS m1, max(value) FILTER (WHERE day > '2024-01-28' AND user_id < 5) AS m2 FROM ev GROUP BY user_id)
+SELECT a.user_id, n, {r('coalesce(m2, m1, m0)')} AS last_max FROM a JOIN m ON a.user_id = m.user_id""")
+def _(t: Tables):
+    path = scratch_path(t.spark, "buckets")
+    e = events(t)
+    # The third merge touches the buckets of a few users only; running the second one twice counts once.
+    merges = [(0, "day <= '2024-01-15'"), (1, "day > '2024-01-15' AND day <= '2024-01-28'"), (1, "day > '2024-01-15' AND day <= '2024-01-28'"), (2, "day > '2024-01-28' AND user_id < 5")]
+    for version, cond in merges:
+        B.merge_buckets(t.spark, path, late_max(e.where(cond)), ["user_id"], version, 16, {"n": "add"})
+    return B.read_buckets(t.spark, path)
+
+
+def stored_log(t: Tables, *parts: str):
+    """The events as a table with a folder per day, or per day and hour."""
+    path = scratch_path(t.spark, "log")
+    e = events(t).select("event_id", "user_id", "event_type", F.col("day").alias("etl_date"), F.col("hour").alias("etl_hour"))
+    W.write_dynamic(e.repartition(16, "etl_date"), path, parts)
+    return t.spark.read.schema("event_id bigint, user_id bigint, event_type string, etl_date string, etl_hour string").parquet(path)
+
+
+@query("pruned_hour_range", f"WITH {EVENTS_CTE} SELECT event_id, user_id, hour AS etl_hour FROM ev WHERE day = '2024-01-07' AND hour BETWEEN '03' AND '05'")
+def _(t: Tables):
+    return S.read_hour_range(stored_log(t, "etl_date", "etl_hour"), "2024-01-07", "03", "05").select("event_id", "user_id", "etl_hour")
+
+
+@query("pruned_half_open_days", f"WITH {EVENTS_CTE} SELECT day AS etl_date, event_type, count(*) AS n FROM ev WHERE day > '2024-01-26' GROUP BY ALL")
+def _(t: Tables):
+    days = S.read_date_range(stored_log(t, "etl_date"), "2024-01-28", 2, inclusive=False)
+    return days.groupBy("etl_date", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("pruned_days_of_dimension", f"WITH {EVENTS_CTE}, d AS (SELECT day FROM ev WHERE event_type = 'error' GROUP BY day HAVING count(*) >= (SELECT max(c) FROM (SELECT count(*) AS c FROM ev WHERE event_type = 'error' GROUP BY day))) SELECT ev.day AS etl_date, user_id, count(*) AS n FROM ev JOIN d ON ev.day = d.day GROUP BY ALL")
+def _(t: Tables):
+    # The days with the most errors, known only when the query runs.
+    errors = events(t).where("event_type = 'error'").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    worst = errors.where(F.col("n") >= errors.agg(F.max("n")).scalar())
+    return S.read_days_of(stored_log(t, "etl_date"), worst).groupBy("etl_date", "user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("multi_day_folders", f"WITH {EVENTS_CTE} SELECT day AS date, 'e' || event_id AS value FROM ev WHERE day BETWEEN '2024-01-09' AND '2024-01-11'")
+def _(t: Tables):
+    path = scratch_path(t.spark, "days")
+    lines = events(t).select(F.concat(F.lit("e"), F.col("event_id")).alias("value"), F.col("day").alias("d"))
+    for day in ("2024-01-08", "2024-01-09", "2024-01-10", "2024-01-11", "2024-01-12"):
+        lines.where(F.col("d") == day).select("value").write.text(f"{path}/{day}")
+    return S.read_multi_day(t.spark, path, first="2024-01-09", last="2024-01-11").select("date", "value")
+
+
+@query("archive_members", "SELECT o_orderpriority || '.txt' AS member, o_orderkey || '|' || o_orderstatus AS value FROM orders")
+def _(t: Tables):
+    path = scratch_path(t.spark, "archives")
+    lines = t.orders.select(F.concat("o_orderpriority", F.lit(".txt")).alias("member"), F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("value"))
+    W.write_targz(lines, path, "member", "value", max_bytes=50_000, member_bytes=20_000).collect()
+    return S.read_targz(t.spark, f"{path}/*.tar.gz").select("member", "value")
+
+
 @query("row_store_changes", """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE c_mktsegment END AS segment FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 2 = 0
 UNION ALL SELECT c_custkey, 'inserted' FROM customer WHERE c_custkey % 2 = 1 AND c_custkey % 7 = 0 AND c_custkey % 5 <> 0""")
 def _(t: Tables):

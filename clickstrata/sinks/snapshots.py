@@ -19,13 +19,14 @@ from ..functions.identity import plain_and_md5
 
 
 def merge_rows(
-    base: DataFrame | None, updates: DataFrame, keys: Sequence[str], modes: Mapping[str, str] | None = None, default: str = "replace"
+    base: DataFrame | None, updates: DataFrame, keys: Sequence[str], modes: Mapping[str, str] | None = None, default: str = "replace",
+    together: str | None = None,
 ) -> DataFrame:
     """``base`` with ``updates`` applied by key, as one union and one aggregation.
 
     Modes per column: ``replace`` (the update's value, also null), ``keep_blank``
     (the update's value unless blank), ``add``, ``max``.  ``updates`` must have
-    one row per key.
+    one row per key.  ``together`` names one of the keys whose rows shall end in one partition.
     """
     modes = modes or {}
     cols = [c for c in updates.columns if c not in keys]
@@ -33,6 +34,8 @@ def merge_rows(
         return updates
     extra = [c for c in base.columns if c not in keys and c not in cols]
     rows = base.withColumn("_new", F.lit(False)).unionByName(updates.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    if together is not None:
+        rows = rows.repartition(together)
     old, new = ~F.col("_new"), F.col("_new")
 
     def pick(c: str) -> Column:

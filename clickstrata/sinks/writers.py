@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import io
+import tarfile
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +67,86 @@ def export_gz(df: DataFrame, path: str, max_rows: int, value: str = "value") ->
     lines.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", max_rows).text(path)
 
 
+def _archive(filesystem, path: str, attempt: str):
+    """An open archive under a name of this attempt, and what gives it its name when it is whole."""
+    hidden = f"{path.rpartition('/')[0]}/_{attempt}-{path.rpartition('/')[2]}"
+    raw = filesystem.open_output_stream(hidden, compression=None)
+    tar = tarfile.open(fileobj=raw, mode="w|gz")
+
+    def commit() -> None:
+        tar.close()
+        raw.close()
+        filesystem.move(hidden, path)
+
+    return tar, commit
+
+
+def write_targz(df: DataFrame, path: str, member: str, value: str, max_bytes: int = 64 << 20, member_bytes: int = 8 << 20, encoding: str = "utf-8") -> DataFrame:
+    """Lines as ``.tar.gz`` archives, written where the rows are: (archive, members, lines, bytes), one row per archive.
+
+    Lines of one ``member`` column follow each other in members of that name; one that has ``member_bytes`` goes on in another
+    member, and an archive that has ``max_bytes`` of text is closed, so a task holds one member whatever the size
+    of the table.  An archive is written under a name of its own attempt and gets its final one when it is whole: a task that
+    runs again replaces its archives, and readers of ``*.tar.gz`` never see a part of one.  Null lines are empty.
+    """
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    hadoop.mkdirs(target)
+    uri = hadoop.makeQualified(target).toString()
+    uri = "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+    rows = df.select(F.coalesce(F.col(member).cast("string"), F.lit("")).alias("m"), F.coalesce(F.col(value).cast("string"), F.lit("")).alias("v"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        filesystem, base = fs.FileSystem.from_uri(uri)
+        task = TaskContext.get()
+        number, held, name, size = 0, io.BytesIO(), None, 0
+        tar = commit = None
+        counts = [0, 0, 0]
+        done: list[tuple] = []
+
+        def close_member() -> None:
+            nonlocal held
+            if name is not None:
+                info = tarfile.TarInfo(name)
+                info.size = held.tell()
+                held.seek(0)
+                tar.addfile(info, held)
+                counts[0] += 1
+                held = io.BytesIO()
+
+        def close_archive() -> None:
+            nonlocal tar, number
+            commit()
+            done.append((f"part-{task.partitionId():05d}-{number:04d}.tar.gz", *counts))
+            counts[:] = [0, 0, 0]
+            tar, number = None, number + 1
+
+        for batch in batches:
+            for m, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                line = v.encode(encoding) + b"\n"
+                if m != name or held.tell() >= member_bytes:
+                    if tar is not None:
+                        close_member()
+                        if counts[2] >= max_bytes:
+                            close_archive()
+                    name = m
+                if tar is None:
+                    tar, commit = _archive(filesystem, f"{base}/part-{task.partitionId():05d}-{number:04d}.tar.gz", f"{task.taskAttemptId()}")
+                held.write(line)
+                counts[1] += 1
+                counts[2] += len(line)
+        if tar is not None:
+            close_member()
+            close_archive()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], ["archive", "members", "lines", "bytes"])
+
+    return rows.sortWithinPartitions("m").mapInArrow(write, "archive string, members bigint, lines bigint, bytes bigint")
+
+
 def ttl_list(df: DataFrame, kind: str, value: str, ttl_seconds: int, now: Column, prefix: str = "ct", payload: Column | None = None) -> DataFrame:
     """Key-value rows ``<prefix>:<kind>:<value>`` with an expiry; one row per key."""
     key = F.concat_ws(":", F.lit(prefix), F.col(kind), F.col(value))

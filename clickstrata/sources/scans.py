@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -39,6 +40,16 @@ def read_date_range(
     return df.where(F.col(date_col) > (last - dt.timedelta(days=days)).isoformat())
 
 
+def read_days_of(df: DataFrame, days: DataFrame, date_col: str = "etl_date", day_col: str = "day") -> DataFrame:
+    """Rows of the days in another table.
+
+    A plain join on the partition column: Spark reads the days first and only then the partitions that they name (dynamic
+    partition pruning), as long as ``days`` is itself filtered.
+    """
+    wanted = days.select(F.col(day_col).alias("_day")).distinct()
+    return df.join(wanted, F.col(date_col) == F.col("_day")).drop("_day")
+
+
 def load_dimensions(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", views: bool = True) -> dict[str, DataFrame]:
     """Dimension tables by name, optionally registered as temp views."""
     tables = {name: spark.read.format(fmt).load(path) for name, path in paths.items()}
@@ -58,9 +69,27 @@ def read_jdbc_query(spark: SparkSession, url: str, table: str, where: str | None
     return spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) t").options(**options).load()
 
 
-def read_multi_day(spark: SparkSession, base: str, fmt: str = "text", date_col: str = "date", pattern: str = r"/(\d{4}-\d{2}-\d{2})(?:/|$)") -> DataFrame:
-    """Every ``base/<date>/`` folder in one read, each row tagged with its date taken from the file path."""
-    df = spark.read.option("recursiveFileLookup", "true").format(fmt).load(base)
+def day_folders(spark: SparkSession, base: str, first: str | None = None, last: str | None = None, prefix: str = "") -> list[str]:
+    """The folders ``base/<prefix><date>`` from ``first`` to ``last``, both included, in order; only ``base`` itself is listed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path) if s.isDirectory()]
+    days = sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix) and re.fullmatch(r"\d{4}-\d{2}-\d{2}", n.removeprefix(prefix)))
+    return [f"{base.rstrip('/')}/{prefix}{d}" for d in days if (first is None or d >= first) and (last is None or d <= last)]
+
+
+def read_multi_day(
+    spark: SparkSession, base: str, fmt: str = "text", date_col: str = "date", pattern: str = r"/(\d{4}-\d{2}-\d{2})(?:/|$)",
+    first: str | None = None, last: str | None = None, **options: str,
+) -> DataFrame:
+    """Every ``base/<date>/`` folder in one read, each row tagged with its date taken from the file path.
+
+    With ``first`` or ``last`` the files of other days are not even listed.  A range without a folder is an error, as a
+    missing path is.
+    """
+    paths = [base] if first is None and last is None else day_folders(spark, base, first, last)
+    if not paths:
+        raise FileNotFoundError(f"no day from {first} to {last} below {base}")
+    df = spark.read.option("recursiveFileLookup", "true").options(**options).format(fmt).load(paths)
     return df.withColumn(date_col, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
 
 

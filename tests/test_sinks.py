@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from clickstrata.sinks import buckets as B
 from clickstrata.sinks import snapshots as N
 from clickstrata.sinks import writers as W
 
@@ -76,3 +77,45 @@ def test_expiring_keys_and_lists(spark, rows):
     assert rows(W.live_keys(keys, now + F.expr("interval 61 seconds"))) == []
     ranked = spark.createDataFrame([("c", "x", 2), ("c", "y", 1), ("c", "z", 3)], "ch string, item string, rn int")
     assert W.publish_topn(ranked, "ch", "item", "rn", 2).first().asDict() == {"key": "TopN:c", "items": ["y", "x"]}
+
+
+def data_files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in (path / "data").rglob("part-*.parquet")}
+
+
+def test_a_merge_rewrites_its_buckets_only(spark, rows, tmp_path):
+    path = tmp_path / "t"
+    frame = lambda pairs: spark.createDataFrame(pairs, "k int, n int, s string")
+    assert len(B.merge_buckets(spark, str(path), frame([(i, 1, f"s{i}") for i in range(2000)]), ["k"], 0, 32, {"n": "add", "s": "keep_blank"})) == 32
+    before = data_files(path)
+    # one per cent of the keys, all in two buckets
+    few = [r.k for r in spark.range(2000).selectExpr("cast(id as int) k").where(B.bucket_of(["k"], 32).isin(3, 17)).limit(20).collect()]
+    for _ in range(2):  # the second time as after a failure
+        assert B.merge_buckets(spark, str(path), frame([(k, 5, "") for k in few]), ["k"], 1, 32, {"n": "add", "s": "keep_blank"}) == [3, 17]
+        after = data_files(path)
+        assert {f: t for f, t in after.items() if "version=0" in f} == before
+        assert {f.rpartition("/")[0].removeprefix("data/") for f in after if "version=1" in f} == {"version=1/bucket=3", "version=1/bucket=17"}
+        got = {r.k: (r.n, r.s) for r in B.read_buckets(spark, str(path)).collect()}
+        assert got == {i: (6 if i in few else 1, f"s{i}") for i in range(2000)}
+    wanted = spark.createDataFrame([(few[0],), (5000,)], "k int")
+    assert rows(B.read_buckets(spark, str(path), wanted, ["k"], 32), "k", "n") == [(few[0], 6)]
+
+
+def test_unused_buckets_are_removed_and_unfinished_merges_do_not_count(spark, rows, tmp_path):
+    path = tmp_path / "t"
+    frame = lambda pairs: spark.createDataFrame(pairs, "k int, n int")
+    for version in range(5):
+        B.merge_buckets(spark, str(path), frame([(k, 1) for k in range(40)]), ["k"], version, 4, {"n": "add"})
+    assert sorted(p.name for p in (path / "data").iterdir()) == ["version=3", "version=4"]
+    assert N.complete_versions(spark, f"{path}/manifest") == [3, 4]
+    os.makedirs(path / "data" / "version=5" / "bucket=0")  # a merge that broke off before its manifest
+    assert rows(B.read_buckets(spark, str(path)).groupBy("n").count()) == [(5, 40)]
+    assert B.merge_buckets(spark, str(path), frame([]), ["k"], 5, 4, {"n": "add"}) == []
+    assert rows(B.read_buckets(spark, str(path)).groupBy("n").count()) == [(5, 40)]
+    assert B.read_buckets(spark, str(tmp_path / "none")) is None
+
+
+def test_a_merge_shuffles_its_buckets_once(spark, tmp_path):
+    rows_ = spark.range(10).withColumns({"bucket": F.lit(1), "n": F.lit(1)})
+    plan = N.merge_rows(rows_, rows_, ["bucket", "id"], together="bucket")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
