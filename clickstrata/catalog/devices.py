@@ -8,6 +8,7 @@ from ..functions import cleaning as C
 from ..functions import devices as D
 from ..functions.identity import canonical_device_id, device_id_type
 from ..operators import features as V
+from ..operators import partials as P
 from ..operators.dims import left_join_blocks
 from ..sources.scans import read_date_range, read_partition
 from .registry import Tables, query, r
@@ -181,14 +182,14 @@ dd AS (WITH {features_sql(*picked(THREE_DAYS, 'dx'), 'app_id, id, adsolt_id', Fa
 SELECT sl.*, CAST(CASE WHEN sl.imp_cnt >= 1 THEN 1 ELSE 0 END AS BIGINT) AS if_imp, CAST(CASE WHEN sl.clk_cnt >= 1 THEN 1 ELSE 0 END AS BIGINT) AS if_clk, {renamed('pi', PER_ID, '_2')}, {renamed('dd', SHARED, '_3')}, lk.* EXCLUDE (app_id, id, adsolt_id)
 FROM sl LEFT JOIN pi ON sl.id = pi.id LEFT JOIN dd ON sl.app_id = dd.app_id AND sl.id = dd.id AND sl.adsolt_id = dd.adsolt_id LEFT JOIN lk ON sl.app_id = lk.app_id AND sl.id = lk.id AND sl.adsolt_id = lk.adsolt_id""")
 def _(t: Tables):
-    log = full_log(t)
-    roles = {"req_price": "value", "price": "value", "time": "sec"}
-    day, days = read_partition(log, DAY, date_col="day"), read_date_range(log, DAY, 3, date_col="day")
-    return V.behaviour_daily(
-        V.behaviour_features(*logs(day), KEYS, V.BehaviourSpec(max_cols=MAXIMA, **roles), DAY_START),
-        V.behaviour_features(*logs(day), ["id"], V.BehaviourSpec(mode_cols=(), apps="app_id", **roles), DAY_START),
-        V.behaviour_features(*logs(days), KEYS, V.BehaviourSpec(mode_cols=(), **roles)), conversions(t), KEYS,
-    )
+    log = read_date_range(full_log(t), DAY, 3, date_col="day").withColumn("log_kind", F.expr(f"CASE {' '.join(f'WHEN {cond} THEN {chr(39)}{k}{chr(39)}' for k, cond in KINDS.items())} END"))
+    spec = V.BehaviourSpec(max_cols=MAXIMA, req_price="value", price="value", time="sec", apps="app_id")
+    # one pass over the logs of all days; every grain and day range is made of these
+    partials = P.behaviour_partials(log, "log_kind", "day", KEYS, spec)
+    today = f"day = '{DAY}'"
+    grains = [P.Grain("slot", KEYS, today, MODES, MAXIMA, timing=True), P.Grain("id", ["id"], today, timing=True, apps=True), P.Grain("days", KEYS, "true")]
+    at = P.behaviour_of_partials(partials, grains, spec, P.column_types(log, MAXIMA), DAY_START)
+    return V.behaviour_daily(at["slot"], at["id"], at["days"], conversions(t), KEYS)
 
 
 @query("feature_block_join", f"""WITH {EVENTS_CTE} SELECT a.user_id, a.day, a.n AS views, b.n AS clicks, c.n AS total FROM (SELECT user_id, day, count(*) AS n FROM ev WHERE event_type = 'view' GROUP BY ALL) a

@@ -49,19 +49,21 @@ def modes(df: DataFrame, keys: Sequence[str], cols: Sequence[str], weight: str |
     return out.select(*keys, *[F.coalesce(c, F.lit("")).alias(c) for c in cols])
 
 
-def click_timing(df: DataFrame, keys: Sequence[str], time: str, start: Column | int, prefix: str = "") -> DataFrame:
+def click_timing(df: DataFrame, keys: Sequence[str], time: str, start: Column | int, prefix: str = "", weight: str | None = None) -> DataFrame:
     """First and last second after ``start``, then smallest, largest and mean gap between consecutive times.
 
     ``time`` is epoch seconds.  One time gives gaps of -1; none gives zeros.
     Times are sorted per (key, hour), at most 3600 distinct seconds each, and
     hours are then chained per key, so a key of any size stays in small pieces.
-    The mean gap is (last - first) / (n - 1) in whole seconds.
+    The mean gap is (last - first) / (n - 1) in whole seconds.  ``weight`` names
+    a count column of pre-aggregated input.
     """
     start = F.lit(start) if isinstance(start, int) else start
     t = F.col(time).try_cast("bigint")
-    rows = df.select(*keys, t.alias("_t"), start.cast("bigint").alias("_start"))
+    w = F.col(weight) if weight else F.lit(1)
+    rows = df.select(*keys, t.alias("_t"), start.cast("bigint").alias("_start"), F.when(t.isNotNull(), w).otherwise(0).cast("bigint").alias("_w"))
     hourly = rows.groupBy(*keys, F.floor(F.col("_t") / 3600).alias("_h")).agg(
-        F.sort_array(F.collect_set("_t")).alias("s"), F.count("_t").alias("n"), F.min("_start").alias("_start")
+        F.sort_array(F.collect_set("_t")).alias("s"), F.sum("_w").alias("n"), F.min("_start").alias("_start")
     )
     gaps = F.zip_with(F.slice("s", 2, F.greatest(F.size("s") - 1, F.lit(0))), F.slice("s", 1, F.greatest(F.size("s") - 1, F.lit(0))), lambda b, a: b - a)
     hourly = hourly.select(

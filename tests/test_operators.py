@@ -314,3 +314,31 @@ def test_bitmaps_count_distinct_ids_over_days(spark, rows):
     assert {r.kind: r.both for r in M.seen_on_both(bits, *days).collect()} == {k: len(ids(k, days[:1]) & ids(k, days[1:])) for k in ("a", "b", None)}
     got = {(r.kind, r.day): r.cnt for r in M.rolling_distinct(bits, 3).collect()}
     assert got == {(k, d): len(ids(k, [f"2024-01-{n:02d}" for n in range(int(d[-2:]) - 2, int(d[-2:]) + 1)])) for k in ("a", "b", None) for d in {x for x, kk, _ in data if kk == k}}
+
+
+def test_behaviour_from_partials_of_days_equals_the_features_of_their_logs(spark):
+    from clickstrata.operators import partials as P
+
+    rnd = random.Random(14)
+    pick = lambda *xs: rnd.choice(xs)
+    data = [(pick("req", "req", "imp", "clk", "other"), f"2024-01-0{rnd.randrange(1, 4)}", pick("a1", "a2"), "hot" if i % 3 == 0 else pick("u1", "u2", "u3", None), pick("s1", "s2"),
+             pick("HUAWEI", "", None, "Redmi"), pick("9", "10", None), rnd.randrange(5, 120), pick("1.5", "2", "x", None), pick("c1", "c2", "", None), 1_704_067_200 + rnd.randrange(9000)) for i in range(700)]
+    log = spark.createDataFrame(data, "kind string, day string, app string, id string, slot string, producer string, ip string, level int, price string, creative string, t bigint").repartition(4)
+    keys = ["app", "id", "slot"]
+    spec = V.BehaviourSpec(mode_cols=["producer"], max_cols=["ip", "level"], req_price="price", price="price", creative="creative", time="t", apps="app")
+    parts = [P.behaviour_partials(log.where(F.col("day") == d), "kind", "day", keys, spec) for d in ("2024-01-01", "2024-01-02", "2024-01-03")]
+    partials = parts[0].union(parts[1]).union(parts[2])
+    day = "day = '2024-01-02'"
+    grains = [P.Grain("slot", keys, day, ["producer"], ["ip", "level"], timing=True), P.Grain("id", ["id"], day, timing=True, apps=True), P.Grain("days", keys, "true")]
+    got = P.behaviour_of_partials(partials, grains, spec, P.column_types(log, spec.max_cols), 1_704_067_200)
+    logs = lambda cond: [log.where(cond).where(F.col("kind") == k) for k in ("req", "imp", "clk")]
+    from dataclasses import replace
+    plain = replace(spec, mode_cols=(), max_cols=())
+    want = {
+        "slot": V.behaviour_features(*logs(day), keys, replace(spec, apps=None), 1_704_067_200),
+        "id": V.behaviour_features(*logs(day), ["id"], plain, 1_704_067_200), "days": V.behaviour_features(*logs("true"), keys, replace(plain, apps=None)),
+    }
+    for name, frame in want.items():
+        assert set(got[name].columns) == set(frame.columns)
+        sort = lambda d: sorted((tuple(r) for r in d.select(sorted(frame.columns)).collect()), key=repr)
+        assert sort(got[name]) == sort(frame)
