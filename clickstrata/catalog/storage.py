@@ -37,7 +37,7 @@ def _(t: Tables):
 @query("write_split_by_key", f"WITH {EVENTS_CTE} SELECT event_type, event_id FROM ev")
 def _(t: Tables):
     path = scratch_path(t.spark, "split")
-    W.write_split(events(t).select("event_type", "event_id"), path, ["event_type"], max_rows=700, salts=4, header="true")
+    W.write_split(events(t).select("event_type", "event_id"), path, ["event_type"], max_rows=700, rows_per_task=500, header="true")
     return t.spark.read.option("header", "true").csv(path).select("event_type", F.col("event_id").cast("bigint").alias("event_id"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import tarfile
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -48,16 +49,24 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", header: bool = False) -
     df.write.mode("overwrite").option("sep", sep).option("header", header).csv(path)
 
 
-def write_split(df: DataFrame, path: str, by: Sequence[str], max_rows: int, fmt: str = "csv", salts: int = 0, **options: str) -> None:
+def write_split(
+    df: DataFrame, path: str, by: Sequence[str], max_rows: int, fmt: str = "csv", salts: int = 0, rows_per_task: int | None = None, **options: str,
+) -> None:
     """One folder per key with files of at most ``max_rows`` rows.
 
-    ``salts`` > 0 first spreads every key over that many tasks, so each key ends
-    in few files without one key landing in a single task.
+    ``rows_per_task`` spreads each key over as many tasks as its own number of rows asks for, so a key with a third of all rows
+    is written by many and a small one by a single task; it counts the keys first.  ``salts`` > 0 spreads every key over that many.
     """
-    if salts:
-        # A hash of the whole row, not a random number: a recomputed task writes the same rows.
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-        df = df.repartition(*by, salt)
+    # A hash of the whole row, not a random number: a recomputed task writes the same rows.
+    of_row, columns = F.xxhash64(*[F.col(c) for c in df.columns]), df.columns
+    if rows_per_task:
+        tasks = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows_per_task).alias("_tasks"))
+        keyed = tasks.select(*[F.col(k).alias(f"_k_{k}") for k in by], "_tasks")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by])
+        spread = df.withColumn("_row", of_row).join(keyed, same).withColumn("_salt", F.pmod("_row", "_tasks"))
+        df = spread.repartition(*by, "_salt").select(*columns)
+    elif salts:
+        df = df.repartition(*by, F.pmod(of_row, F.lit(salts)))
     df.write.mode("overwrite").partitionBy(*by).option("maxRecordsPerFile", max_rows).options(**options).format(fmt).save(path)
 
 

@@ -60,6 +60,21 @@ def test_split_files_stay_small(spark, tmp_path):
     assert spark.read.csv(str(path)).count() == 1000 and len({p.parent.name for p in files}) == 5
 
 
+def test_a_hot_key_is_written_by_as_many_tasks_as_its_rows_ask_for(spark, tmp_path):
+    path = tmp_path / "s"
+    df = spark.range(4000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") < 30, None).otherwise(F.concat(F.lit("k"), F.col("id") % 60)).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows end in one task
+    try:
+        W.write_split(df, str(path), ["k"], max_rows=5000, rows_per_task=300, header="true")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per = {}
+    for p in path.rglob("part-*.csv"):
+        per.setdefault(p.parent.name, []).append(len(p.read_text().splitlines()) - 1)
+    assert len(per["k=hot"]) >= 4 and sum(per["k=hot"]) == 2666 and sum(map(sum, per.values())) == 4000
+    assert all(len(n) == 1 for k, n in per.items() if k != "k=hot")
+
+
 def test_write_partition_constants_and_defaults(spark, rows, tmp_path):
     path = str(tmp_path / "p")
     for day, v in (("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-01", 3)):
