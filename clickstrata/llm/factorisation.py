@@ -194,9 +194,11 @@ def classified(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_c
     """
     model = docs.sparkSession.sparkContext.broadcast(machine)
     keep = [c for c in (docs.columns if carry is None else carry) if c not in RESULTS]
-    inputs = [F.col(text_col).alias("text__"), *([F.col(length_col).cast("bigint").alias("length__")] if length_col in docs.columns else [])]
+    # a text that is returned anyway crosses to Python once
+    inputs = [*([] if text_col in keep else [F.col(text_col).alias("text__")]), *([F.col(length_col).cast("bigint").alias("length__")] if length_col in docs.columns else [])]
     rows = docs.select(*keep, *inputs)
-    text_at, length_at = len(keep), len(keep) + 1 if len(inputs) > 1 else None
+    text_at = keep.index(text_col) if text_col in keep else len(keep)
+    length_at = len(keep) + len(inputs) - 1 if length_col in docs.columns else None
     schema = T.StructType([*rows.schema.fields[: len(keep)], T.StructField("score", T.DoubleType())])
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,6 @@
 """Words of many texts as numpy arrays, from Arrow string columns.
 
-Texts are handled in blocks of a few MB, so memory follows the block (or the
+Texts are handled in blocks of half a MB, so memory follows the block (or the
 longest single text), not the batch or the partition.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -61,6 +61,8 @@ def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tu
         hi = min(hi, len(column))
         yield lo, hi, raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
+    # workers live on: what a batch has freed goes back, so that the next operator finds it
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
