@@ -21,16 +21,28 @@ _ENCODE = 64
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str):
-    """The byte-level BPE of ``path``, ranks as base64 and number per line."""
+def _encoder(path: str, added_path: str | None):
+    """The byte-level BPE of ``path``, ranks as base64 and number per line, with the added tokens of the file ``added_path``."""
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = {}
+    if added_path is not None:
+        with open(added_path, encoding="utf-8") as f:
+            added = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+
+def added_tokens_path() -> str:
+    """The file that names the vocabulary's added tokens."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def ranks_path() -> str:
@@ -53,21 +65,23 @@ PIECE = "piece int, start bigint, length bigint, ids_crc32 bigint"
 def pieces(docs: DataFrame, text_col: str = "text", carry: Sequence[str] = ("doc_id",), length: int = LENGTH, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """One row per piece of every document: ``carry``, piece, start, length, ids_crc32 and, if asked, its ids.
 
-    Null texts are empty; an empty text is one piece of the end id alone.  Strings that
-    look like control tokens are encoded as ordinary text.
+    Null texts are empty; an empty text is one piece of the end id alone.  The vocabulary's added tokens are found
+    anywhere in a text and stand for themselves; with a ``path`` of one's own there are none.  Other strings that look like control
+    tokens are encoded as ordinary text.
     """
+    added = added_tokens_path() if path is None else None
     path = path or ranks_path()
     rows = docs.select(*carry, F.coalesce(F.col(text_col), F.lit("")).alias("text__"))
     schema = T.StructType([*rows.schema.fields[:-1], *T.StructType.fromDDL(PIECE).fields, *([T.StructField("ids", T.ArrayType(T.IntegerType(), False))] if with_ids else [])])
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path).encode_ordinary
+        encoder = _encoder(path, added)
         for batch in batches:
             for lo in range(0, batch.num_rows, _ENCODE):
                 part = batch.slice(lo, _ENCODE)
                 row, found, ids_of = [], [], []
                 for i, text in enumerate(part.column(len(carry))):
-                    ids = np.array([*encode(text.as_py()), END], "<u4")
+                    ids = np.array([*encoder.encode(text.as_py(), allowed_special="all"), END], "<u4")
                     for k, (start, n) in enumerate(cut(len(ids), length)):
                         row.append(i)
                         found.append((k, start, n, zlib.crc32(ids[start : start + n].tobytes())))
