@@ -308,3 +308,23 @@ def test_mix_equals_sql(spark):
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
     want = sorted(con.sql(mixing.SQL).fetchall())
     assert sorted(map(tuple, QUERIES["op8_mixing"](spark, SF).collect())) == want
+
+
+def test_added_tokens_are_found_anywhere(frame):
+    import public_tokenizers
+    import tokenizers
+
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}start", f"end {mark}", f"{mark}{mark} twice", f"x{mark}y<|endoftext|", "<|other|> plain", f"  {mark}  \n{mark}é"]
+    plain = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {r.doc_id: r.ids for r in packing.pieces(frame(list(enumerate(texts))), with_ids=True).collect()}
+    assert got == {i: [*plain.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+
+
+def test_mix_meets_targets_with_missing_and_repeated_identifiers(frame):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"word{i} and nine more words of a text like all", "abc"[i % 3 if i % 2 else 0]) for i in range(6000)]
+    taken, target = {}, {}
+    for r in mixed_rows(frame(rows, clash=False)):
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 20 for s in target)
