@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickstrata.llm.common import stored
@@ -22,8 +22,7 @@ class Settings:
     """Two documents are linked when ``100 * intersection >= percent * union`` of their shingle sets.
 
     A pair at the threshold misses all bands with probability (1 - (percent/100)^rows)^bands,
-    1.5e-5 here, and is pruned with probability ``miss`` at each batch.  A shingle is rare when at most
-    ``rare`` candidates hold it.
+    1.5e-5 here, and is pruned with probability ``miss`` at each batch.
     """
 
     words: int = 5
@@ -31,7 +30,6 @@ class Settings:
     bands: int = 28
     rows: int = 5
     miss: float = 1e-6
-    rare: int = 16
     seed: int = 1
 
     @property
@@ -98,7 +96,9 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    """id, mark (a hash of the text, which tells apart the texts of a repeated identifier) and text."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    return rows.select("id", F.xxhash64("text").alias("mark"), "text")
 
 
 def _digest(shingles: np.ndarray) -> bytes | None:
@@ -106,35 +106,38 @@ def _digest(shingles: np.ndarray) -> bytes | None:
 
 
 def signatures(rows: DataFrame, s: Settings) -> DataFrame:
-    """id, n_shingles, digest of the shingle set and band keys of every row; the last two null without words."""
+    """id, mark, n_shingles, digest of the shingle set and band keys of every row; the last two null without words."""
     multipliers = s.multipliers()
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digest, keys = [], [], []
-            for x in shingle_sets(batch.column(1), s.words):
+            for x in shingle_sets(batch.column(2), s.words):
                 n.append(len(x))
                 digest.append(_digest(x))
                 keys.append(band_keys(signature(x, multipliers), s.bands) if len(x) else None)
             columns = [pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_shingles", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "n_shingles", "digest", "keys"])
 
-    return rows.mapInArrow(per_batch, "id bigint, n_shingles bigint, digest binary, keys array<bigint>")
+    return rows.mapInArrow(per_batch, "id bigint, mark bigint, n_shingles bigint, digest binary, keys array<bigint>")
 
 
-def _candidates(rows: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
-    """Signature and shingle set of the rows with one of ``ids``; of different texts of an identifier, those of the smallest digest."""
+def _candidates(rows: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """node, signature and shingle set of ``classes`` (node, digest, and rep and mark of one of their rows)."""
     multipliers = s.multipliers()
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1), s.words))
-            sigs = [signature(x, multipliers).tobytes() if len(x) else None for x in sets]
-            columns = [pa.array(map(_digest, sets), pa.binary()), pa.array(sigs, pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "digest", "sig", "shingles"])
+            sets = list(shingle_sets(batch.column(2), s.words))
+            # a row of the same identifier and mark may still have another text
+            own = pa.array([i for i, (x, digest) in enumerate(zip(sets, batch.column(1))) if _digest(x) == digest.as_py()], pa.int64())
+            sets = [sets[i] for i in own.to_pylist()]
+            columns = [pa.array([signature(x, multipliers).tobytes() for x in sets], pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), *columns], ["id", "sig", "shingles"])
 
-    made = rows.join(ids, "id", "left_semi").mapInArrow(per_batch, "id bigint, digest binary, sig binary, shingles array<bigint>").filter("digest is not null")
-    return made.groupBy("id").agg(F.min(F.struct("digest", "sig", "shingles")).alias("of")).select("id", "of.sig", "of.shingles")
+    found = rows.withColumnRenamed("id", "rep").join(classes.select("rep", "mark", "node", "digest"), ["rep", "mark"])
+    made = found.select("node", "digest", "text").mapInArrow(per_batch, "id bigint, sig binary, shingles array<bigint>")
+    return made.groupBy("id").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles"))
 
 
 def likely(pairs: DataFrame, candidates: DataFrame, s: Settings) -> DataFrame:
@@ -167,40 +170,41 @@ def _pair(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def _rare_holders(members: DataFrame, candidates: DataFrame, most: int) -> DataFrame:
-    """id, shingle: the shingles of ``members`` that at most ``most`` of them hold."""
-    tokens = candidates.join(members.select("id").distinct(), "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
-    rare = tokens.groupBy("shingle").count().filter(F.col("count") <= most).select("shingle")
-    return stored(tokens.join(rare, "shingle"), "near-rare")
+def _size_class(n: Column) -> Column:
+    """The smallest size of the class of ``n``: all but its five leading bits are zero, so sizes to 31 are classes of their own."""
+    low = F.greatest(F.length(F.bin(n)) - 5, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", n, low), low)
 
 
-def _viable(members: DataFrame, rare: DataFrame, s: Settings) -> DataFrame:
-    """Members (key, id, n) that may still be linked to one with which they share no rare shingle; ``own`` counts those they hold.
+def prefix_places(members: DataFrame, candidates: DataFrame, s: Settings) -> DataFrame:
+    """key, id, n, component, at: the places under which ``members`` (id, n, component) meet all they may be linked to.
 
-    Such shingles are in the union of the two and not in the intersection, which bounds the similarity
-    to anything of at least the bucket's smallest size.
+    Shingles have one order, the rarest among the members first.  If the first shingle that two sets of
+    sizes n and m share is number ``at`` of the one, they share at most n - at, and a link takes
+    percent / (100 + percent) of n + m.  So a set is entered under its first shingles only; fewer, the larger
+    the partner.  The key holds the class of the smaller size, for which each set is entered
+    under all classes it can have, so sets of one size meet under a few shingles, the rarest that they have.
     """
-    own = rare.groupBy("id").agg(F.count("*").alias("own"))
-    least = members.groupBy("key").agg(F.min("n").alias("least"))
-    out = members.join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))).join(least, "key")
-    shared = F.col("n") - F.col("own")
-    return out.filter(100 * shared >= s.percent * F.greatest(F.col("n"), F.col("least") + F.col("own"))).drop("least")
-
-
-def _sharing(members: DataFrame, rare: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of members of different components with a rare shingle in common: few hold one, so pairs stay few."""
-    held = rare.join(members.select("id", "n", "component").distinct(), "id")
-    other = held.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component")])
-    sizes = 100 * F.least("n", "n2") >= s.percent * F.greatest("n", "n2")
-    return held.join(other, "shingle").filter((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & sizes).select(*_pair("id", "id2")).distinct()
-
-
-def _across(members: DataFrame, others: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of members of a bucket with ``others`` of another component, as far as sizes and rare shingles, none being shared, allow a link."""
-    others = others.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "own", "component")])
-    a, b = F.col("n") - F.col("own"), F.col("n2") - F.col("own2")
-    possible = 100 * F.least(a, b) >= s.percent * (F.greatest(a, b) + F.col("own") + F.col("own2"))
-    return members.join(others, "key").filter((F.col("component") != F.col("component2")) & possible).select(*_pair("id", "id2")).distinct()
+    p, n = F.lit(s.percent), F.col("n")
+    tokens = candidates.join(members, "id").select("id", "n", "component", F.explode("shingles").alias("shingle"))
+    held = tokens.join(tokens.groupBy("shingle").agg(F.count("*").alias("holders")), "shingle")
+    held = held.withColumn("at", F.row_number().over(Window.partitionBy("id").orderBy("holders", "shingle")) - 1)
+    # a shingle of one holder takes its number, but meets nothing
+    least = F.ceil(p * n / 100).cast("bigint")
+    step = _size_class(least)
+    classes = F.array_distinct(F.transform(F.sequence(step, n, F.greatest(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.greatest(F.length(F.bin(least)) - 5, F.lit(0))), F.lit(1))), _size_class))
+    near = F.filter(classes, lambda c: (100 + p) * (n - F.col("at")) >= p * (n + F.greatest(c, least)))
+    held = held.filter("holders > 1").filter((100 + p) * (n - F.col("at")) >= p * (n + least))
+    return held.select("id", "n", "component", "at", "shingle", F.explode(near).alias("sizes")).select(F.xxhash64("shingle", "sizes").alias("key"), "id", "n", "component", "at", "sizes")
+
+
+def _meeting(places: DataFrame, others: DataFrame, s: Settings) -> DataFrame:
+    """Pairs of places and ``others`` of another component under one key, as far as sizes and numbers allow a link."""
+    others = others.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "at", "component")])
+    needed = s.percent * (F.col("n") + F.col("n2"))
+    possible = ((100 + s.percent) * (F.col("n") - F.col("at")) >= needed) & ((100 + s.percent) * (F.col("n2") - F.col("at2")) >= needed)
+    possible &= F.col("sizes") == _size_class(F.least("n", "n2"))
+    return places.join(others, "key").filter((F.col("component") != F.col("component2")) & possible).select(*_pair("id", "id2")).distinct()
 
 
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -216,34 +220,34 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per row of ``docs``.
 
-    1. Texts with equal sets form a class, represented by its smallest identifier; so copies,
-       however many, are one node from here on.
-    2. Representatives meet in the buckets of their bands.  Each bucket has a centre, another in each
+    1. Texts with equal sets form a class, which is one node from here on, however many copies it has.
+    2. Nodes meet in the buckets of their bands.  Each bucket has a centre, another in each
        band; members are compared with it, which costs as much as the bucket is large.
-    3. What is linked so far joins into components.  In buckets that still hold several, members of different
-       ones are compared if they share a rare shingle.  Those that share none have all their rare ones apart, which
-       rules most links out; members that may have one left are compared with the most typical of the
-       bucket, the one with the fewest rare shingles.
-    4. In buckets that are still not one component, the members outside the largest one are compared with
-       all members of other components, again as far as rare shingles allow a link.  So every
-       pair that shares a bucket is compared, connected or ruled out, and buckets of many like copies stay linear.
-
-    A comparison prunes on signatures and verifies the rest on full sets.
-
-    Null texts, and texts without words, have no shingles and are linked with nothing.  Rows that
-    repeat an identifier share its component if their texts are linked.  Rows with a null
+    3. What is linked so far joins into components.  Members of buckets that still hold several are entered
+       under the first of their shingles, rarest first, so that no two that may be linked miss each
+       other (``prefix_places``).  Where members of several components meet, each is compared with one of them.
+    4. Where they are still not one component, those outside the largest one are compared with all
+       of other components that sizes and numbers of shingles allow.
+
+    A comparison prunes on signatures and verifies the rest on full sets.  So every pair that shares a
+    bucket is compared, connected or ruled out.  Members that only resemble each other share a bucket but few
+    of their rarest shingles, so buckets of many alike do not become pairs.
+
+    Null texts, and texts without words, have no shingles and are linked with nothing.  Of rows that
+    repeat an identifier, each is linked by its own text.  Rows with a null
     identifier are never dropped or linked; their component is null.
     """
     s, narrow = settings, _narrow(docs, id_col, text_col)
     rows = stored(signatures(narrow, s), "near-signatures")
-    # equal sets have equal keys, so any row of a class has those of its representative
-    classes = rows.filter("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
-    classes = stored(classes, "near-classes")
-    exploded = classes.select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key"))
+    # equal sets have equal keys, so any row of a class has those of the others
+    classes = rows.filter("digest is not null and id is not null").groupBy("digest").agg(F.min(F.struct("id", "mark")).alias("of"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("of.id").alias("rep"), "of.mark", "n", "keys"), "near-classes")
+    exploded = classes.select(F.col("node").alias("id"), "n", F.explode("keys").alias("key"))
     order = F.struct(F.xxhash64("id", "key"), "id", "n")
     centres = exploded.groupBy("key").agg(F.count("*").alias("members"), F.min(order).alias("centre")).filter("members > 1")
     members = stored(exploded.join(centres.select("key", F.col("centre.id").alias("centre"), F.col("centre.n").alias("centre_n")), "key"), "near-members")
-    candidates = stored(_candidates(narrow, members.select("id").distinct(), s), "near-candidates")
+    met = classes.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
+    candidates = stored(_candidates(narrow, met, s), "near-candidates")
 
     def linked(pairs: DataFrame) -> DataFrame:
         return stored(verified(likely(pairs, candidates, s), candidates, s.percent), "near-links")
@@ -252,27 +256,28 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     first = members.filter((F.col("id") != F.col("centre")) & similar(F.col("n"), F.col("centre_n"))).select(*_pair("id", "centre")).distinct()
     found = components(linked(first))
 
-    def split_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
-        """Members of buckets that hold several components, with their own and the bucket's largest one."""
+    def split_groups(members: DataFrame, found: DataFrame) -> DataFrame:
+        """Members of groups (key) that hold several components, with their own and the group's largest one."""
         placed = stored(members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "near-placed")
         per = placed.groupBy("key", "component").count()
         split = per.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("count", "component")).alias("main")).filter("parts > 1")
-        return stored(placed.join(split.select("key", F.col("main.component").alias("main")), "key"), "near-split")
-
-    left = split_buckets(members.select("key", "id", "n"), found)
-    rare = _rare_holders(left, candidates, s.rare)
-    sharing = _sharing(left, rare, s)
-    left = split_buckets(_viable(left.drop("component", "main"), rare, s), found)
-    best = left.groupBy("key").agg(F.min(F.struct("own", "id", "n", "component")).alias("best")).select("key", "best.id", "best.n", "best.own", "best.component")
-    second = linked(sharing.union(_across(left, best, s)).distinct())
+        return placed.join(split.select("key", F.col("main.component").alias("main")), "key")
+
+    left = stored(split_groups(members.select("key", "id", "n"), found).select("id", "n", "component").distinct(), "near-left")
+    places = prefix_places(left, candidates, s).drop("component")
+    places = stored(split_groups(places, found), "near-places")
+    # one order of all members, so that groups of much the same members have the same centre
+    centre = places.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), "id", "n", "at", "component")).alias("centre")).select("key", "centre.id", "centre.n", "centre.at", "centre.component")
+    second = linked(_meeting(places, centre, s))
     if not second.isEmpty():
         found = _merged(found, second)
-        left = split_buckets(left.drop("component", "main"), found)
-    third = linked(_across(left, left.filter("component != main").drop("main"), s))
+        places = stored(split_groups(places.drop("component", "main"), found), "near-places")
+    third = linked(_meeting(places.filter("component != main"), places, s))
     if not third.isEmpty():
         found = _merged(found, third)
 
-    named = rows.select("id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
-    named = named.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
+    placed = classes.select("node", "digest", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = placed.join(placed.groupBy("component").agg(F.min("rep").alias("first_id")), "component").select("digest", "first_id")
+    named = rows.select("id", "n_shingles", "digest").join(named, "digest", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("first_id", "id"))
     return named.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

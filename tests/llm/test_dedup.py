@@ -120,6 +120,54 @@ def test_near_duplicates_over_a_table(spark):
     assert sorted_rows(near_dedup.near_duplicates(table(spark, SF, "documents"), s).collect()) == near_by_hand(rows, s)
 
 
+def test_near_links_of_repeated_identifiers(frame):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, b + " end"), (3, a + " end"), (None, a), (7, "alone here"), (7, None)]
+    s = near_dedup.Settings()
+    assert sorted_rows(near_dedup.near_duplicates(frame(rows), s).collect()) == near_by_hand(rows, s)
+
+
+def template_pages(n: int, rng: random.Random) -> list[tuple[int, str]]:
+    """Pages of ten out of forty shared blocks: much alike, hardly any linked, no shingle rare."""
+    blocks = [" ".join(f"b{b}w{i}" for i in range(12)) for b in range(40)]
+    common = " ".join(f"c{i}" for i in range(260))
+    return [(i, " ".join([common, *(blocks[b] for b in sorted(rng.sample(range(40), 10)))])) for i in range(n)]
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_prefix_places_lose_no_link_and_few_pairs_meet(spark, percent):
+    rng = random.Random(percent)
+    s = near_dedup.Settings(percent=percent)
+    sets = []
+    for base in range(12):  # sizes from 1 to 400 with links around the threshold
+        size = rng.choice([1, 2, 7, 20, 31, 32, 33, 90, 400])
+        body = rng.sample(range(10**6), size)
+        for _ in range(25):
+            own = set(rng.sample(body, rng.randrange(max(1, size * 3 // 4), size + 1)))
+            sets.append(own | {rng.randrange(10**6) for _ in range(rng.randrange(1 + size // 10))})
+    hot = rng.sample(range(10**6), 20)
+    for _ in range(300):  # one word of many exchanged: three shingles of twenty are others
+        at = rng.randrange(18)
+        sets.append(set(hot[:at] + hot[at + 3 :]) | {10**7 + at * 1000 + rng.randrange(4) * 10 + j for j in range(3)})
+    frame = spark.createDataFrame([(i, sorted(x)) for i, x in enumerate(sets)], "id bigint, shingles array<bigint>")
+    members = frame.selectExpr("id", "cast(size(shingles) as bigint) as n", "id as component")
+    places = near_dedup.prefix_places(members, frame, s).cache()
+    got = {(r.a, r.b) for r in near_dedup._meeting(places, places, s).collect()}
+    alike = lambda x, y: 100 * len(x & y) >= percent * len(x | y)
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if alike(sets[i], sets[j])}
+    assert want <= got and len(want) > 100
+    hot_ids = range(300, 600)
+    meeting = sum(a in hot_ids and b in hot_ids for a, b in got)
+    assert meeting < 300 * 299 / 2 / 8
+
+
+def test_near_duplicates_of_template_pages(frame):
+    rows = template_pages(120, random.Random(4))
+    rows += [(500 + i, rows[i][1] + " end") for i in range(0, 120, 7)]
+    s = near_dedup.Settings()
+    assert sorted_rows(near_dedup.near_duplicates(frame(rows, clash=False), s).collect()) == near_by_hand(rows, s)
+
+
 def test_near_empty(frame):
     assert near_dedup.near_duplicates(frame([])).count() == 0
 
