@@ -99,9 +99,8 @@ def _places(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _of_document(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Joined on the document: identifier and checksum, a null identifier being one of its own."""
-    right = right.withColumnsRenamed({"id": "id__", "sum": "sum__"})
-    return left.join(right, F.col("id").eqNullSafe(F.col("id__")) & (F.col("sum") == F.col("sum__")), how).drop("id__", "sum__")
+    """Joined on the two hashes that name a row."""
+    return left.join(right, ["id", "sum"], how)
 
 
 _START = lambda place: F.shiftright(place, 16)
@@ -211,7 +210,7 @@ def _by_digest(rows: DataFrame, length: int) -> DataFrame:
 
 
 def repeat_ranges(docs: DataFrame, length: int, most: int = MOST) -> DataFrame:
-    """id, sum, lo, hi: ranges of window starts that occur again, for ``docs`` with id, sum (a checksum) and text."""
+    """id, sum, lo, hi: ranges of window starts that occur again, for ``docs`` with id, sum (which name a row together) and text."""
     twice = _grams(docs, length).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
     places = stored(_places(docs, length).join(twice, "gram", "left_semi"), "repeat-places")
     kinds = stored(places.groupBy("gram", "digest").agg(F.count("*").alias("n"), F.min(F.struct("id", "sum", "place")).alias("any")), "repeat-kinds")
@@ -233,8 +232,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     Each byte under a string of ``length`` bytes that also starts elsewhere goes, in its own
     document too; strings overlap and are judged on the input.  Null texts are empty; texts shorter than
     ``length`` lose nothing.  Repeated rows repeat each other, so such rows lose all of a text of that length.
-    Identifier and checksum name a row; null identifiers count as one identifier.  ``length``
-    lies between an anchor's and 255 bytes more.
+    Inside, two 64-bit hashes of identifier and text name a row, so rows of one identifier, or of
+    none, are apart unless their texts are equal.  ``length`` lies between an anchor's and 255 bytes more.
     """
     if not GRAM <= length <= GRAM + 255:
         raise ValueError(f"length must lie between {GRAM} and {GRAM + 255}")
@@ -260,8 +259,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
             columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * len(kinds), kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *RESULTS[: len(kinds)]])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("sum", F.crc32(F.col("text").cast("binary")))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # each hash starts from that of its first column, so what makes one collide leaves the other apart
+    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("id"), F.xxhash64("text", "doc_id").alias("sum"), "text")
     ranges = repeat_ranges(rows, length, most).groupBy("id", "sum").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text binary" * with_text
-    return _of_document(rows, ranges, "left").select("id", "text", "ranges").mapInArrow(per_batch, schema)
+    return _of_document(rows, ranges, "left").select("doc_id", "text", "ranges").mapInArrow(per_batch, schema)

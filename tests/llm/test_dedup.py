@@ -231,5 +231,13 @@ def test_repeats_at_another_length(frame):
     assert sorted_rows(repeats.remove_repeats(frame(passages(), clash=False), length=50).collect()) == repeats_by_hand(passages(), 50)
 
 
+def test_repeats_without_identifiers_are_apart(frame):
+    rng = random.Random(3)
+    prose = lambda n: "".join(rng.choice("abcdefghij klm") for _ in range(n))
+    shared = prose(250)
+    rows = [(None, prose(400)) for _ in range(40)] + [(None, prose(60) + shared), (None, shared + prose(70)), (None, None)]
+    assert sorted_rows(repeats.remove_repeats(frame(rows)).collect()) == repeats_by_hand(rows, 200)
+
+
 def test_repeats_empty(frame):
     assert repeats.remove_repeats(frame([])).count() == 0
