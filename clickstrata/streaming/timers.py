@@ -3,13 +3,18 @@
 Unlike the log of :mod:`enrich` and the pairs of a stream join, the output has one row per waiting row and needs no
 reduction on read; the state of a key is dropped when no further row can need it.  Timers run on event time, so a
 replay gives the same rows whenever it runs.
+
+Keys are dealt into groups, which share their state lists and timer, and lists hold blocks of rows: a call of the state, and each
+entry that passes between Python and Spark, takes longer than the work on a row.
 """
 
 from __future__ import annotations
 
+import pickle
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +25,9 @@ from .enrich import _useful_clicks, _waiting
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Groups of keys by default, and rows in one block of the state.
+GROUPS = 8192
+_ROWS = 10_000
 
 
 @contextmanager
@@ -44,59 +52,86 @@ def _values(struct) -> tuple:
 
 
 class OrderClicks(StatefulProcessor):
-    """The waiting orders and the recent clicks of one click id.
+    """The waiting orders and the recent clicks of a group of click ids.
 
     An order is certain once the watermark has passed it and a click before it is there, or has passed the first click after
     it; without a click it goes as it came when ``timeout`` is over.  With ``later=False`` only clicks before the order count, and
-    all is certain when the watermark has passed it.  Each key has a timer at the earliest time at which something may be
+    all is certain when the watermark has passed it.  Each group has a timer at the earliest time at which something may be
     decided or dropped.
     """
 
     def __init__(self, order: T.StructType, fill: Sequence[str], timeout: int, later: bool = True):
         self.order, self.timeout, self.later = order, timeout, later
         self.fill = [order.fieldNames().index(f) for f in fill]
+        self.row = Row(*order.fieldNames())
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        at = T.StructField("at", T.LongType())
-        self.handle = handle
-        self.orders = handle.getListState("orders", T.StructType([at, *self.order.fields]))
-        self.clicks = handle.getListState("clicks", T.StructType([at, *[self.order.fields[i] for i in self.fill]]))
+        blocks = T.StructType([T.StructField("rows", T.BinaryType())])
+        self.handle, self.looked_at = handle, set()
+        self.orders, self.clicks = handle.getListState("orders", blocks), handle.getListState("clicks", blocks)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        orders, clicks = [], []
-        for r in rows:
-            if r["_order"] is not None:
-                orders.append((r["_at"], *_values(r["_order"])))
-            elif r["_click"] is not None:
-                clicks.append((r["_at"], *_values(r["_click"])))
-        if orders:
-            self.orders.appendList(orders)
-        if clicks:
-            self.clicks.appendList(clicks)
-        if orders or clicks:
-            self._wake(min(r[0] for r in (*orders, *clicks)))
+        wake = []
+        for some in batched(rows, _ROWS):
+            orders, clicks = [], []
+            for r in some:
+                if r["_order"] is not None:
+                    orders.append((r["_key"], r["_at"], *_values(r["_order"])))
+                elif r["_click"] is not None:
+                    clicks.append((r["_key"], r["_at"], *_values(r["_click"])))
+            for state, found in ((self.orders, orders), (self.clicks, clicks)):
+                if found:
+                    state.appendValue((pickle.dumps(found),))
+            wake += [r[1] for r in (*orders, *clicks)]
+            wake = [min(wake)] if wake else []
+        if wake:
+            self._wake(wake[0])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # of a group's timers that expire in one batch the first has done it all
+        if key in self.looked_at:
+            return iter(())
+        self.looked_at.add(key)
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        orders, clicks = list(self.orders.get()), list(self.clicks.get())
-        settled, waiting, wake = self.settled(orders, clicks, now)
+        orders, clicks = self._rows(self.orders), self._rows(self.clicks)
+        by_key: dict[str, tuple[list[tuple], list[tuple]]] = {}
+        for order in orders:
+            by_key.setdefault(order[0], ([], []))[0].append(order[1:])
+        for click in clicks:
+            if click[0] in by_key:
+                by_key[click[0]][1].append(click[1:])
+        settled, waiting, wake = [], [], []
+        for k, (own, near) in by_key.items():
+            done, still, again = self.settled(own, near, now)
+            settled += done
+            waiting += [(k, *order) for order in still]
+            wake += again
         if settled:
-            self.orders.put(waiting) if waiting else self.orders.clear()
+            self._replace(self.orders, waiting)
         # an order still to come is later than the watermark, and takes no click further back than the timeout
-        useful = [c for c in clicks if c[0] + self.timeout > now]
+        useful = [c for c in clicks if c[1] + self.timeout > now]
         if len(useful) < len(clicks):
-            self.clicks.put(useful) if useful else self.clicks.clear()
-        wake += [c[0] + self.timeout for c in useful]
+            self._replace(self.clicks, useful)
+        wake += [c[1] + self.timeout for c in useful]
         if wake:
             self._wake(min(wake))
         return iter(settled)
 
+    def _rows(self, state) -> list[tuple]:
+        return [row for (block,) in state.get() for row in pickle.loads(block)]
+
+    def _replace(self, state, rows: list[tuple]) -> None:
+        if rows:
+            state.put([(pickle.dumps(some),) for some in batched(rows, _ROWS)])
+        else:
+            state.clear()
+
     def _wake(self, at: int) -> None:
         self.handle.registerTimer(-(-at // 1000))
 
     def settled(self, orders: list[tuple], clicks: list[tuple], now: int) -> tuple[list[Row], list[tuple], list[int]]:
-        """Orders decided at watermark ``now``, those that wait, and when to look at these again."""
+        """Of one click id: orders decided at watermark ``now``, those that wait, and when to look at these again."""
         clicks = sorted((tuple(c) for c in clicks), key=lambda c: (c[0], [(v is not None, v) for v in c[1:]]))
         times = [c[0] for c in clicks]
         done, waiting, wake = [], [], []
@@ -120,7 +155,7 @@ class OrderClicks(StatefulProcessor):
             for i, place in enumerate(self.fill):
                 if chosen is not None and chosen[1 + i] is not None:
                     row[place] = chosen[1 + i]
-            done.append(Row(**dict(zip(self.order.fieldNames(), row))))
+            done.append(self.row(*row))
         return done, waiting, wake
 
     def close(self) -> None:
@@ -137,7 +172,7 @@ def _packed(df: DataFrame) -> tuple[T.StructType, Column]:
     return T.StructType([_stored_type(f) for f in df.schema.fields]), F.struct(*cols)
 
 
-def _matched(waiting: DataFrame, key: Column, ts: str, found: DataFrame, fill: Sequence[str], timeout: str, delay: str, ticks: DataFrame | None, later: bool) -> DataFrame:
+def _matched(waiting: DataFrame, key: Column, ts: str, found: DataFrame, fill: Sequence[str], timeout: str, delay: str, ticks: DataFrame | None, later: bool, groups: int | None) -> DataFrame:
     """Each row of ``waiting`` once, its columns ``fill`` from one of ``found`` (``_k, _cts, _f_…``), by :class:`OrderClicks`."""
     payload, packed = _packed(waiting)
     found_type = T.StructType([payload[f] for f in fill])
@@ -146,15 +181,17 @@ def _matched(waiting: DataFrame, key: Column, ts: str, found: DataFrame, fill: S
     rows = rows.union(found.select(F.col("_k").cast("string"), "_cts", none(payload), F.struct(*[F.col(f"_f_{f}").cast(payload[f].dataType).alias(f) for f in fill])))
     if ticks is not None:
         rows = rows.union(ticks.select(F.lit(""), "ts", none(payload), none(found_type)))
-    rows = rows.withWatermark("_ts", delay).withColumn("_at", F.unix_micros("_ts"))
+    group = F.col("_key") if groups is None else F.pmod(F.xxhash64("_key"), F.lit(groups))
+    rows = rows.withWatermark("_ts", delay).withColumns({"_at": F.unix_micros("_ts"), "_group": group})
     processor = OrderClicks(payload, list(fill), timeout_micros(waiting.sparkSession, timeout), later)
-    out = rows.groupBy("_key").transformWithState(processor, payload, "append", "eventTime")
+    out = rows.groupBy("_group").transformWithState(processor, payload, "append", "eventTime")
     return out.select(*[(F.timestamp_micros(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)).alias(f.name) for f in waiting.schema.fields])
 
 
 def orders_on_time(
     orders: DataFrame, clicks: DataFrame, key: str = "click_id", order_ts: str = "ts", click_ts: str = "ts",
     fill: Sequence[str] = ("plan_id", "creative_id"), timeout: str = "20 minutes", delay: str | None = None, ticks: DataFrame | None = None,
+    groups: int | None = GROUPS,
 ) -> DataFrame:
     """Every order once: with the latest click of its id before it, else the first after it, within ``timeout``; or as it came.
 
@@ -162,21 +199,25 @@ def orders_on_time(
     timeout) behind the newest row, has passed what decides them; rows further out of order are dropped by Spark, as in
     any stream with a watermark.  ``ticks``, a stream with a column ``ts``, moves the watermark on when orders and clicks pause.
     Start the query within :func:`rocksdb_state`, in append mode.
+
+    ``groups``, fixed for the life of a checkpoint, is how many groups the click ids are dealt into (``None``: each id is its own).
+    A timer reads the rows of its group that are within ``delay`` and timeout, in one task: many short batches, or very many
+    rows at once, want more groups; fewer groups make fewer calls.
     """
     waiting, passing = _waiting(orders, key, fill)
     useful = _useful_clicks(clicks, key, click_ts, fill)
-    return passing.unionByName(_matched(waiting, F.col(key), order_ts, useful, fill, timeout, delay or timeout, ticks, True))
+    return passing.unionByName(_matched(waiting, F.col(key), order_ts, useful, fill, timeout, delay or timeout, ticks, True, groups))
 
 
 def latest_before(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, carry: Sequence[str], within: str,
-    delay: str | None = None, ticks: DataFrame | None = None,
+    delay: str | None = None, ticks: DataFrame | None = None, groups: int | None = GROUPS,
 ) -> DataFrame:
     """Every left row once, with ``carry`` of the latest right row of its key at or before it, at most ``within`` back; null if there is none.
 
     Rows meet on the key and a time cell as long as ``within``, a right row also in the cell after its own, so the state of
     a busy key is dealt over its cells.  Of right rows of one time the smallest values count, nulls first.  A null key has no
-    match, and such rows pass at once.  ``delay``, ``ticks`` and how to start the query: as for :func:`orders_on_time`.
+    match, and such rows pass at once.  ``delay``, ``ticks``, ``groups`` and how to start the query: as for :func:`orders_on_time`.
     """
     length = F.lit(timeout_micros(left.sparkSession, within))
     cell = lambda ts: F.floor(F.unix_micros(ts) / length)
@@ -185,5 +226,5 @@ def latest_before(
     wide = left.withColumns({c: F.lit(None).cast(types[c]) for c in carry})
     there = right.where(F.col(key).isNotNull()).withColumn("_cell", F.explode(F.array(cell(right_ts), cell(right_ts) + 1)))
     found = there.select(named(key, F.col("_cell")).alias("_k"), F.col(right_ts).alias("_cts"), *[F.col(c).alias(f"_f_{c}") for c in carry])
-    matched = _matched(wide.where(F.col(key).isNotNull()), named(key, cell(left_ts)), left_ts, found, carry, within, delay or within, ticks, False)
+    matched = _matched(wide.where(F.col(key).isNotNull()), named(key, cell(left_ts)), left_ts, found, carry, within, delay or within, ticks, False, groups)
     return matched.unionByName(wide.where(F.col(key).isNull()))

@@ -147,3 +147,94 @@ def test_each_click_takes_its_latest_view(spark, tmp_path, out):
         before = [(w, -n) for u, w, n in views if u is not None and u == user and ts - dt.timedelta(minutes=30) <= w <= ts]
         want.append((i, -max(before)[1] if before else None))
     assert got == sorted(want) and sum(b is not None for _, b in want) > 10
+
+
+class Kept:
+    """A list state and timers that count the calls."""
+
+    def __init__(self):
+        self.lists, self.calls, self.timers = {}, 0, []
+
+    def getListState(self, name, schema):
+        return Kept.List(self, name)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    class List:
+        def __init__(self, kept, name):
+            self.kept, self.values = kept, kept.lists.setdefault(name, [])
+
+        def _called(self, values):
+            self.kept.calls += 1
+            self.values[:] = values
+
+        def get(self):
+            self._called(self.values)
+            return iter([*self.values])
+
+        def appendValue(self, value):
+            self._called([*self.values, value])
+
+        def appendList(self, values):
+            self._called([*self.values, *values])
+
+        def put(self, values):
+            self._called(values)
+
+        def clear(self):
+            self._called([])
+
+
+class Now:
+    def __init__(self, micros):
+        self.getCurrentWatermarkInMs = lambda: micros // 1000
+
+
+def test_state_is_called_per_group_not_per_key(spark):
+    from pyspark.sql import Row
+    from pyspark.sql.types import StructType
+
+    m = 60_000_000
+    rows = []
+    for i in range(3000):
+        rows.append(Row(_key=f"c{i}", _at=30 * m, _order={"order_id": f"o{i}", "plan_id": None}, _click=None))
+        rows.append(Row(_key=f"c{i}", _at=(25 + i % 10) * m, _order=None, _click={"plan_id": f"p{i}"}))
+    p, kept = K.OrderClicks(StructType.fromDDL("order_id string, plan_id string"), ["plan_id"], 20 * m), Kept()
+    p.init(kept)
+    assert not [*p.handleInputRows((1,), iter(rows), Now(0))]
+    assert kept.calls < 10 and max(len(v) for v in kept.lists.values()) < 10
+    got, now = {}, 0
+    for now in (30 * m, 32 * m, 70 * m):
+        p.init(kept)
+        for due in [t for t in kept.timers if t * 1000 <= now]:
+            kept.timers.remove(due)
+            got |= {r.order_id: (r.plan_id, now // m) for r in p.handleExpiredTimer((1,), Now(now), None)}
+    # a click before counts at once, one after when the watermark is there
+    assert got == {f"o{i}": (f"p{i}", 30 if i % 10 <= 5 else 32 if i % 10 <= 7 else 70) for i in range(3000)}
+    assert kept.calls < 40 and not any(kept.lists.values()) and not kept.timers
+
+
+def test_each_click_takes_its_latest_view_whatever_shares_its_group(spark, tmp_path):
+    rnd = random.Random(31)
+    users = [f"u{i}" for i in range(40)]
+    views = [(rnd.choice(users), at(rnd.randrange(6 * 3600)), i) for i in range(300)]
+    clicks = [(rnd.choice(users), at(rnd.randrange(6 * 3600)), i) for i in range(300)]
+    feed(spark, tmp_path / "v", [views[::2], views[1::2]], "user string, ts timestamp, view int")
+    feed(spark, tmp_path / "c", [clicks[::2], clicks[1::2]], "user string, ts timestamp, click int")
+    feed(spark, tmp_path / "t", [[(at(0),)], [(at(9 * 3600),)], [(at(30 * 3600),)]], TICK)
+    want = {}
+    for user, ts, i in clicks:
+        before = [(w, -n) for u, w, n in views if u == user and ts - dt.timedelta(minutes=30) <= w <= ts]
+        want[i] = -max(before)[1] if before else None
+    for groups in (1, 3):
+        read = lambda name, schema: U.read_files(spark, str(tmp_path / name), schema, max_files=1)
+        c, v = read("c", "user string, ts timestamp, click int"), read("v", "user string, ts timestamp, view int")
+        with K.rocksdb_state(spark):
+            joined = K.latest_before(c, v, "user", "ts", "ts", ["view"], "30 minutes", delay="7 hours", ticks=read("t", TICK), groups=groups)
+            query = U.run_stream(joined, U.change_log_sink(str(tmp_path / f"out{groups}")), str(tmp_path / f"checkpoint{groups}"))
+        got = [(r.click, r.view) for r in spark.read.parquet(str(tmp_path / f"out{groups}")).select("click", "view").collect()]
+        assert len(got) == len(clicks) and dict(got) == want
+        assert max(p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress) <= 2 * groups
+    assert sum(b is not None for b in want.values()) > 10
