@@ -79,6 +79,26 @@ def test_orders_come_once_on_time_and_after_a_restart(spark, tmp_path, out):
     assert sum(p is not None for p, _ in got.values()) > 10
 
 
+def test_orders_that_share_a_group_take_clicks_of_their_own_id(spark, tmp_path):
+    rnd = random.Random(8)
+    ids = [f"c{i}" for i in range(60)]
+    orders = [(f"o{i}", rnd.choice(ids), at(rnd.randrange(4 * 3600)), None, None) for i in range(200)]
+    clicks = [(rnd.choice(ids), at(rnd.randrange(4 * 3600)), f"p{i}", None) for i in range(400)]
+    want = {r.order_id: r.plan_id for r in E.enrich_orders(spark.createDataFrame(orders, ORDER), spark.createDataFrame(clicks, CLICK)).collect()}
+    feed(spark, tmp_path / "o", [orders[::2], orders[1::2]], ORDER)
+    feed(spark, tmp_path / "c", [clicks[::2], clicks[1::2]], CLICK)
+    feed(spark, tmp_path / "t", [[(at(0),)], [(at(7 * 3600),)], [(at(20 * 3600),)]], TICK)
+    for groups in (1, 3):
+        out, read = str(tmp_path / f"out{groups}"), lambda name, schema: U.read_files(spark, str(tmp_path / name), schema, max_files=1)
+        with K.rocksdb_state(spark):
+            made = K.orders_on_time(read("o", ORDER), read("c", CLICK), delay="5 hours", ticks=read("t", TICK), groups=groups)
+            query = U.run_stream(made, U.change_log_sink(out), str(tmp_path / f"checkpoint{groups}"))
+        got = [(r.order_id, r.plan_id) for r in spark.read.parquet(out).collect()]
+        assert len(got) == len(orders) and dict(got) == want
+        assert max(p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress) <= 2 * groups
+    assert 10 < sum(p is not None for p in want.values()) < len(want)
+
+
 def test_other_columns_pass_through_the_state(spark, tmp_path, out):
     row = [("o", "c", at(60), None, None)]
     feed(spark, tmp_path / "o", [row], ORDER)
