@@ -99,6 +99,66 @@ def test_orders_that_share_a_group_take_clicks_of_their_own_id(spark, tmp_path):
     assert 10 < sum(p is not None for p in want.values()) < len(want)
 
 
+WIDE = "order_id bigint, click_id string, ts timestamp, n bigint, f float, d double, b boolean, m decimal(30,5), day date, x binary, plain timestamp_ntz"
+MANY = "click_id string, ts timestamp, n bigint, f float, m decimal(30,5), x binary"
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_values_of_any_type_pass_the_state_unchanged(spark, tmp_path, nested):
+    from decimal import Decimal
+
+    big, day = 2**60 + 1, dt.date(9999, 12, 31)
+    full = (1.1, -0.0, True, Decimal("123456789012345678901234.00001"), day, b"\x00\xff", dt.datetime(9999, 12, 31, 23, 59, 59, 999999))
+    far = lambda s: dt.datetime(2300, 1, 1) + dt.timedelta(seconds=s)
+    orders = [(big, "c0", at(600), None, None, *full[1:3], None, day, None, full[6]), (big + 2, "c1", at(600), None, None, None, None, None, None, None, None)]
+    orders += [(i, "none", at(600), None, None, float("nan"), False, None, day, None, None) for i in range(2)] + [(5, "c5", at(600), big, *full), (6, "far", far(60), None, None, *full[1:3], None, day, None, None)]
+    clicks = [("c0", at(500), big + 4, 0.1, full[3], b"\xfe"), ("c0", at(400), 1, None, None, None), ("c1", at(600), 10, None, None, None), ("c1", at(600), 9, None, None, None)]
+    clicks += [("far", far(0), None, 2.5, Decimal("0.00010"), None), ("far", far(90), 7, None, None, None)]
+    feed(spark, tmp_path / "o", [orders], WIDE)
+    feed(spark, tmp_path / "c", [clicks], MANY)
+    feed(spark, tmp_path / "t", [[(at(0),)], [(far(7200),)]], TICK)
+    wide = lambda df: df.withColumn("deep", F.array(F.struct("n", "order_id"))) if nested else df
+    o, c = (U.read_files(spark, str(tmp_path / name), schema) for name, schema in (("o", WIDE), ("c", MANY)))
+    out, fill = str(tmp_path / "out"), ["n", "f", "m", "x"]
+    with K.rocksdb_state(spark):
+        U.run_stream(K.orders_on_time(wide(o), c, fill=fill, ticks=U.read_files(spark, str(tmp_path / "t"), TICK)), U.change_log_sink(out), str(tmp_path / "checkpoint"))
+    batch = E.enrich_orders(wide(spark.createDataFrame(orders, WIDE)), spark.createDataFrame(clicks, MANY), fill=fill)
+    got, want = spark.read.parquet(out).drop("batch"), batch
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.where("n is not null or f is not null").count() == 4
+
+
+def test_rows_come_and_go_in_frames(spark):
+    import pandas as pd
+    from pyspark.sql.types import StructType
+
+    m = 60_000_000
+    p, kept = K.OrderClickFrames(StructType.fromDDL("order_id bigint, n bigint"), ["n"], 20 * m, True, 20 * m), Kept()
+    rows = [(1, None, 2, "", f"{31 * m}", None, None)]
+    for i in range(0, 6000, 2):
+        rows += [(1, None, 0, f"c{i}", f"{31 * m}", f"{i}", None), (1, None, 1, f"c{i}", f"{30 * m}", None, f"{2**60 + i + 1}")]
+    p.init(kept)
+    assert not [*p.handleInputRows((1,), iter([pd.DataFrame(rows[i : i + 2000]) for i in range(0, len(rows), 2000)]), Now(0))]
+    assert kept.calls < 20
+    p.init(kept)
+    frames = [*p.handleExpiredTimer((1,), Now(31 * m), None)]
+    assert len(frames) == 1 and sorted(map(tuple, frames[0].values)) == sorted((f"{i}", f"{2**60 + i + 1}") for i in range(0, 6000, 2))
+
+
+def test_the_state_has_few_partitions_and_commits_changes(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "600")
+        with K.rocksdb_state(spark):
+            assert int(spark.conf.get("spark.sql.shuffle.partitions")) <= max(32, 3 * spark.sparkContext.defaultParallelism)
+            assert spark.conf.get(K.CHANGES) == "true"
+        with K.rocksdb_state(spark, 100):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "600"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_other_columns_pass_through_the_state(spark, tmp_path, out):
     row = [("o", "c", at(60), None, None)]
     feed(spark, tmp_path / "o", [row], ORDER)
