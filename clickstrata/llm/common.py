@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,9 @@ from clickstrata.session import scratch_path
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of rows that cross between an executor and its Python worker at once; a longer row crosses alone.
+BATCH_BYTES, BATCH_SETTING = 1 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -28,6 +34,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside hand rows to Python in Arrow batches of :data:`BATCH_BYTES`.
+
+    Spark's own bound is 10,000 rows, which with texts is a whole input partition: both sides
+    hold it at once, and executors and workers that live on keep much of what they once held.
+    A frame that is returned lazily runs outside, under the caller's setting.
+    """
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null and empty texts have none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import SPACE, text_of
+from clickstrata.llm.common import BATCH_BYTES, SPACE, text_of
 
 #: Bytes of text one trie holds before its heaviest subtree is spilled.
 TRIE_BYTES = 96 << 20
@@ -131,7 +131,6 @@ def normalised(text: Column) -> Column:
 
 
 _ROW = "owner bigint, count bigint, size int, digest string, body binary"
-_BATCH_BYTES = 8 << 20
 
 
 def _emit(trie: OwnerTrie, digests: dict[bytes, str] | None, bodies: bool) -> Iterator[pa.RecordBatch]:
@@ -148,7 +147,7 @@ def _emit(trie: OwnerTrie, digests: dict[bytes, str] | None, bodies: bool) -> It
     for body, owner, count in trie.owners():
         rows.append((owner, count, len(body), hashlib.sha256(body).hexdigest()) + (body,) * bodies)
         held += len(body) * bodies + 100
-        if held > _BATCH_BYTES:
+        if held > BATCH_BYTES:
             yield batch()
             rows, held = [], 0
     yield batch()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickstrata.llm import exact_dedup, factorisation, mixing, near_dedup, packing
-from clickstrata.llm.common import stored, table
+from clickstrata.llm.common import small_batches, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -23,10 +23,15 @@ def _opened(bundled: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones, scores at 0.5 or more stay."""
-    machine = factorisation.fit(docs, table(spark, sf_dir, "labels"))
+    """Documents that the classifier, fitted on the labelled ones, scores at 0.5 or more stay.
+
+    They are written here, since only jobs of the stage itself run in small batches.
+    """
     rows = _bundled(docs, "doc_id", "text", "n_chars")
-    return _opened(factorisation.classified(rows, machine).filter("predicted = 1").select(*rows.columns), docs.columns)
+    with small_batches(spark):
+        machine = factorisation.fit(docs, table(spark, sf_dir, "labels"))
+        kept = stored(factorisation.classified(rows, machine).filter("predicted = 1").select(*rows.columns), "quality-kept")
+    return _opened(kept, docs.columns)
 
 
 def _numbered(docs: DataFrame, label: str) -> DataFrame:
@@ -51,14 +56,17 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, also where rows repeat a doc_id or have none."""
     rows = _numbered(docs, "exact-rows")
     members = exact_dedup.exact_duplicates(rows.select("row__", "text"), "row__").filter("group_size > 1").select("row__", F.col("keep_id").alias("group"))
-    return _opened(_first_of_groups(rows, members, "exact-groups"), docs.columns)
+    with small_batches(spark):
+        firsts = _first_of_groups(rows, members, "exact-groups")
+    return _opened(firsts, docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates stays, by shingles of five words and a similarity of 0.8, whatever the rows' doc_id."""
     rows = _numbered(docs, "near-rows")
-    others = near_dedup.near_duplicates(rows, id_col="row__").filter("not kept").select(F.col("doc_id").alias("row__"), F.col("component_id").alias("group"))
-    others = stored(others, "near-others")
+    with small_batches(spark):
+        others = near_dedup.near_duplicates(rows, id_col="row__").filter("not kept").select(F.col("doc_id").alias("row__"), F.col("component_id").alias("group"))
+        others = stored(others, "near-others")
     # the row that isn't among them is the one that its group is named after
     members = others.union(others.select(F.col("group").alias("row__"), "group").distinct())
     return _opened(_first_of_groups(rows, members, "near-groups"), docs.columns)
@@ -73,7 +81,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of the mix with its place in a training sequence."""
-    return packing.pack_documents(docs)
+    with small_batches(spark):
+        return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

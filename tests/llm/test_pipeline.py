@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
+import pyarrow as pa
+import pytest
 from clickstrata.llm import near_dedup
-from clickstrata.llm.common import stored, table
+from clickstrata.llm.common import BATCH_BYTES, BATCH_SETTING, small_batches, stored, table
+from pyspark.sql import functions as F
 
 from .test_dedup import exact_by_hand, near_by_hand
 from .test_shaping import check_places, targets_by_hand
@@ -80,3 +83,49 @@ def test_dedup_stages_keep_one_row_per_group_whatever_the_ids(spark, frame):
         alone = corpus_pipeline.near_stage(spark, frame([(None, prose), (None, prose), (3, other), (3, other)]), SF)
         assert sorted((r.doc_id or 0, r.text) for r in alone.collect()) == [(0, prose), (3, other)]
     assert tied[0] == tied[1]
+
+
+def test_stages_hand_texts_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    """Both sides hold a batch at once; by default it is a whole partition of texts."""
+    text = F.concat(F.lit("The quick brown fox looks for words in line "), F.col("id").cast("string"), F.lit("."))
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(text, F.lit("\n")), 40).alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source"), F.lit(1900).alias("n_chars"))
+    frames, before = type(docs), spark.conf.get(BATCH_SETTING, None)
+    plain = frames.mapInArrow
+
+    def watched(df, func, *args, **kwargs):
+        def noting(batches):
+            def seen():
+                for batch in batches:
+                    with open(f"{folder}/sizes", "a") as f:
+                        f.write(f"{batch.nbytes}\n")
+                    yield batch
+
+            yield from func(seen())
+
+        return plain(df, noting, *args, **kwargs)
+
+    monkeypatch.setattr(frames, "mapInArrow", watched)
+    for name, stage in corpus_pipeline.STAGES:
+        folder = tmp_path / name.replace(" ", "-")
+        folder.mkdir()
+        stage(spark, docs, SF).write.format("noop").mode("overwrite").save()
+        assert spark.conf.get(BATCH_SETTING, None) == before
+        if name != "mixing":
+            sizes = [int(n) for n in (folder / "sizes").read_text().split()]
+            assert sum(sizes) > 4 * BATCH_BYTES and max(sizes) < 1.5 * BATCH_BYTES, name
+
+
+def test_small_batches_end_with_the_block(spark):
+    before = spark.conf.get(BATCH_SETTING, None)
+    rows = spark.range(0, 50, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text"))
+
+    def counted(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    found = rows.mapInArrow(counted, "n bigint")
+    with pytest.raises(ValueError), small_batches(spark):
+        inside = [r.n for r in found.collect()]
+        raise ValueError
+    assert sum(inside) == 50 and max(inside) <= BATCH_BYTES // 200_000 + 1
+    assert spark.conf.get(BATCH_SETTING, None) == before
