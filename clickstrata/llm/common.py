@@ -17,20 +17,38 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of rows that cross between an executor and its Python worker at once; a longer row crosses alone.
 BATCH_BYTES, BATCH_SETTING = 1 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
+#: Whether a query's shuffle files go when it ends, instead of whenever the driver collects its garbage.
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+#: Codec of scratch tables that hold whole texts; Spark's own choice takes half as much again.
+TEXT_CODEC = "zstd"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """``df`` written to the folder that all executors share and read again.
 
     Used where a costly narrow result feeds several later jobs: it is computed
     once, survives the loss of executors, and its size is known to the planner.
+    What was shuffled for it is needed by no later job and leaves the disk at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with _setting(spark, CLEANUP_SETTING, "true"):
+        df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,12 +60,8 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
     hold it at once, and executors and workers that live on keep much of what they once held.
     A frame that is returned lazily runs outside, under the caller's setting.
     """
-    before = spark.conf.get(BATCH_SETTING, None)
-    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    try:
+    with _setting(spark, BATCH_SETTING, str(BATCH_BYTES)):
         yield
-    finally:
-        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
 
 
 def word_count(text: Column) -> Column:

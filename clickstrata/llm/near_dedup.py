@@ -17,6 +17,10 @@ from clickstrata.llm.components import components
 from clickstrata.llm.wordarrays import LOWER, Words, mixed, text_blocks
 
 
+#: Bits of the field that says which rows' texts may be needed (8 MB): what the driver sends out, whatever the input.
+FIELD_BITS = 1 << 26
+
+
 @dataclass(frozen=True)
 class Settings:
     """Two documents are linked when ``100 * intersection >= percent * union`` of their shingle sets.
@@ -124,6 +128,20 @@ def signatures(rows: DataFrame, s: Settings) -> DataFrame:
     return rows.mapInArrow(per_batch, "id bigint, mark bigint, n_shingles bigint, digest binary, keys array<bigint>")
 
 
+def _needed(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` (rep, mark, text) without most of those that none of ``classes`` (rep, mark) is named after.
+
+    They are told apart where they lie, by a bit field, so only texts that are read later are shuffled. It holds
+    no row of a class back; rows whose bit is a class's too pass, the more, the fuller the field.
+    """
+    place = F.pmod(F.xxhash64("rep", "mark"), F.lit(FIELD_BITS))
+    bit = {"bucket": F.bitmap_bucket_number(place), "bit": F.bitmap_bit_position(place).cast("int")}
+    # dealt by bucket first, since a task's part of a bitmap is as large as all of it
+    field = stored(classes.withColumns(bit).repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "near-field")
+    octet = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright("bit", 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.withColumns(bit).join(F.broadcast(field), "bucket").filter(F.getbit(octet, F.col("bit").bitwiseAND(7)) == 1).select(*rows.columns)
+
+
 def _candidates(rows: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
     """node, signature and shingle set of ``classes`` (node, digest, and rep and mark of one of their rows)."""
     multipliers = s.multipliers()
@@ -137,7 +155,7 @@ def _candidates(rows: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
             columns = [pa.array([signature(x, multipliers).tobytes() for x in sets], pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(own), *columns], ["id", "sig", "shingles"])
 
-    found = rows.withColumnRenamed("id", "rep").join(classes.select("rep", "mark", "node", "digest"), ["rep", "mark"])
+    found = _needed(rows.withColumnRenamed("id", "rep"), classes).join(classes.select("rep", "mark", "node", "digest"), ["rep", "mark"])
     made = found.select("node", "digest", "text").mapInArrow(per_batch, "id bigint, sig binary, shingles array<bigint>")
     return made.groupBy("id").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles"))
 
@@ -249,7 +267,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     order = F.struct(F.xxhash64("id", "key"), "id", "n")
     centres = exploded.groupBy("key").agg(F.count("*").alias("members"), F.min(order).alias("centre")).filter("members > 1")
     members = stored(exploded.join(centres.select("key", F.col("centre.id").alias("centre"), F.col("centre.n").alias("centre_n")), "key"), "near-members")
-    met = classes.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
+    met = stored(classes.select("node", "digest", "rep", "mark").join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi"), "near-met")
     candidates = stored(_candidates(narrow, met, s), "near-candidates")
 
     def linked(pairs: DataFrame) -> DataFrame:

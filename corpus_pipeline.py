@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickstrata.llm import exact_dedup, factorisation, mixing, near_dedup, packing
-from clickstrata.llm.common import small_batches, stored, table
+from clickstrata.llm.common import TEXT_CODEC, small_batches, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,14 +30,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     rows = _bundled(docs, "doc_id", "text", "n_chars")
     with small_batches(spark):
         machine = factorisation.fit(docs, table(spark, sf_dir, "labels"))
-        kept = stored(factorisation.classified(rows, machine).filter("predicted = 1").select(*rows.columns), "quality-kept")
+        kept = stored(factorisation.classified(rows, machine).filter("predicted = 1").select(*rows.columns), "quality-kept", TEXT_CODEC)
     return _opened(kept, docs.columns)
 
 
 def _numbered(docs: DataFrame, label: str) -> DataFrame:
     """``docs`` bundled, every row with a number of its own and a hash of its values; written, so that all jobs see the same numbers."""
     rows = _bundled(docs, "doc_id", "text")
-    return stored(rows.withColumns({"row__": F.monotonically_increasing_id(), "tie__": F.xxhash64("text", F.col("others__").cast("string"))}), label)
+    return stored(rows.withColumns({"row__": F.monotonically_increasing_id(), "tie__": F.xxhash64("text", F.col("others__").cast("string"))}), label, TEXT_CODEC)
 
 
 def _first_of_groups(rows: DataFrame, members: DataFrame, label: str) -> DataFrame:
@@ -101,5 +101,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}", TEXT_CODEC)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -168,6 +168,26 @@ def test_near_duplicates_of_template_pages(frame):
     assert sorted_rows(near_dedup.near_duplicates(frame(rows, clash=False), s).collect()) == near_by_hand(rows, s)
 
 
+@pytest.mark.parametrize("bits, most", [(1 << 26, 120), (64, 3000)])
+def test_texts_that_no_class_needs_are_left_out_before_the_join(spark, monkeypatch, bits, most):
+    monkeypatch.setattr(near_dedup, "FIELD_BITS", bits)
+    rows = near_dedup._narrow(spark.range(-1000, 2000).selectExpr("id as doc_id", "concat('text ', id % 700) as text"), "doc_id", "text").withColumnRenamed("id", "rep")
+    rows = rows.union(rows.selectExpr("cast(null as bigint)", "mark", "text").limit(5))
+    classes = rows.filter("rep % 30 = 0").select("rep", "mark")
+    kept = near_dedup._needed(rows, classes)
+    assert kept.columns == rows.columns
+    kept = [tuple(r) for r in kept.collect()]
+    wanted = {tuple(r) for r in rows.filter("rep % 30 = 0").collect()}
+    assert len(wanted) == 100 and wanted <= set(kept) and len(kept) <= most
+    assert near_dedup._needed(rows, classes.limit(0)).count() == 0
+
+
+def test_near_duplicates_when_all_rows_pass_the_field(frame, hard, monkeypatch):
+    monkeypatch.setattr(near_dedup, "FIELD_BITS", 1)
+    s = near_dedup.Settings()
+    assert sorted_rows(near_dedup.near_duplicates(frame(hard), s).collect()) == near_by_hand(hard, s)
+
+
 def test_near_empty(frame):
     assert near_dedup.near_duplicates(frame([])).count() == 0
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import random
+import time
+import uuid
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
-from clickstrata.llm import near_dedup
+from clickstrata.llm import common, near_dedup
 from clickstrata.llm.common import BATCH_BYTES, BATCH_SETTING, small_batches, stored, table
 from pyspark.sql import functions as F
 
@@ -129,3 +134,34 @@ def test_small_batches_end_with_the_block(spark):
         raise ValueError
     assert sum(inside) == 50 and max(inside) <= BATCH_BYTES // 200_000 + 1
     assert spark.conf.get(BATCH_SETTING, None) == before
+
+
+def test_copies_of_texts_take_less_disk_than_the_input(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(20_000)}" for _ in range(300)) for _ in range(1500)]
+    spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(2).write.parquet(f"{tmp_path}/docs")
+    monkeypatch.setattr(common, "scratch_path", lambda _, label: f"{tmp_path}/scratch/{label}-{uuid.uuid4().hex}")
+    size = lambda folder: sum(p.stat().st_size for p in Path(folder).glob("*.parquet"))
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, docs, SF)
+        if name != "quality classifier":
+            assert out.count() == len(texts)
+    for label, rows in (("exact-rows", len(texts)), ("near-rows", len(texts)), ("quality-kept", None)):
+        (folder,) = (tmp_path / "scratch").glob(f"{label}-*")
+        assert all({pq.ParquetFile(p).metadata.row_group(0).column(1).compression} == {"ZSTD"} for p in folder.glob("*.parquet") if pq.ParquetFile(p).metadata.num_row_groups), label
+        assert rows is None or size(folder) < 0.85 * size(tmp_path / "docs"), label
+
+
+def test_shuffle_files_of_a_stored_table_go_with_its_job(spark):
+    folders = [Path(d.getPath()) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    found = lambda: {p for d in folders for p in d.glob("*/shuffle_*")}
+    key, before = common.CLEANUP_SETTING, found()
+    setting = spark.conf.get(key, None)
+    out = stored(spark.range(0, 1000, 1, 4).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test-shuffled")
+    end = time.time() + 20
+    while found() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not found() - before
+    assert spark.conf.get(key, None) == setting
+    assert sorted(r["count"] for r in out.collect()) == [142] + [143] * 6
